@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from knotwork.llm.addresses import same_premises
 from knotwork.llm.groups import consolidate
+from knotwork.llm.names import variants
 from knotwork.llm.splits import broken_by_folds, split
 from knotwork.llm.top_n import top_n
 from knotwork.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(spark, table(spark, sf_dir, "top50_train_source3"), "entity_id", "business_name")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate(spark, table(spark, sf_dir, "candidate_schema"), "source1_entity_id", "target_entity_id")
 
@@ -18,6 +24,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n(table(spark, sf_dir, "candidate_schema"), "source1_entity_id", "target_entity_id", "candidate_score", "candidate_rank", 5)
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_premises(spark, table(spark, sf_dir, "top50_train_source3"), "entity_id", "business_address")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broken_by_folds(spark, table(spark, sf_dir, "train_folds"), table(spark, sf_dir, "train_matched_ids"))
 
@@ -27,7 +37,7 @@ def p6_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split(spark, table(spark, sf_dir, "train_folds"), table(spark, sf_dir, "train_matched_ids"), parts)
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split}
 
 SQL = {
     "p4_found": """
