@@ -13,24 +13,22 @@ HOT_KEYS = 256
 def lookup_join(big: DataFrame, key: str, small: DataFrame, small_key: str, value: str, out: str, keep: bool = False) -> DataFrame:
     """Add ``out``: the ``value`` that ``small`` has for ``big[key]``; ``small_key`` is unique in ``small``.
 
-    Rows of the HOT_KEYS most frequent keys join a broadcast table of at most HOT_KEYS rows, wherever they lie;
-    the rest is an ordinary shuffle join. Without ``keep`` rows that find nothing are dropped, with it ``out`` is
-    null there. A null key finds nothing. Ties among frequent keys are settled by the key itself, so that both
-    halves see the same set.
+    The HOT_KEYS most frequent keys find their value in a broadcast table of at most HOT_KEYS rows. One shuffle join
+    serves the rest; the rows already served pass through it under a second join column that spreads them evenly and
+    meets nothing. Without ``keep`` rows that find nothing are dropped, with it ``out`` is null there. A null key
+    finds nothing. Ties among frequent keys are settled by the key itself.
     """
-    values = small.select(F.col(small_key).alias("_lk"), F.col(value).alias(out))
     hot = (
-        big.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_lk")).count()
-        .orderBy(F.desc("count"), "_lk").limit(HOT_KEYS).select("_lk")
+        big.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hk")).count()
+        .orderBy(F.desc("count"), "_hk").limit(HOT_KEYS).select("_hk")
     )
-    hot_values = hot.join(values, "_lk", "left")
-    a = big.join(F.broadcast(hot_values), F.col(key) == F.col("_lk"), "inner").drop("_lk")
-    if not keep:
-        a = a.where(F.col(out).isNotNull())
-    rest = big.join(F.broadcast(hot), F.col(key) == F.col("_lk"), "left_anti")
-    if keep:  # null keys would meet in one task of an outer join
-        none = rest.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast(values.schema[out].dataType))
-        b = rest.where(F.col(key).isNotNull()).join(values, F.col(key) == F.col("_lk"), "left").drop("_lk")
-        return a.unionByName(b).unionByName(none)
-    b = rest.join(values, F.col(key) == F.col("_lk"), "inner").drop("_lk")
-    return a.unionByName(b)
+    hot = hot.join(small.select(F.col(small_key).alias("_sk"), F.col(value).alias("_hv")), F.col("_hk") == F.col("_sk"), "left").select("_hk", "_hv")
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(1 << 30)) + 1
+    x = big.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
+    x = x.withColumn("_salt", F.when(F.col("_hk").isNull() & F.col(key).isNotNull(), F.lit(0).cast("long")).otherwise(spread))
+    values = small.select(F.col(small_key).alias("_lk"), F.lit(0).cast("long").alias("_ls"), F.col(value).alias("_lv"))
+    # hashed by both columns, a null key is spread by its salt
+    x = x.join(values, (F.col(key) == F.col("_lk")) & (F.col("_salt") == F.col("_ls")), "left")
+    x = x.withColumn(out, F.coalesce("_hv", "_lv"))
+    x = x.drop("_hk", "_hv", "_salt", "_lk", "_ls", "_lv")
+    return x if keep else x.where(F.col(f"`{out}`").isNotNull())
