@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from knotwork.llm.addresses import same_premises
 from knotwork.llm.groups import consolidate
+from knotwork.llm.matching import labelled, match, unlabelled_matches
 from knotwork.llm.names import variants
 from knotwork.llm.splits import broken_by_folds, split
 from knotwork.llm.top_n import top_n
@@ -20,6 +21,16 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate(spark, table(spark, sf_dir, "candidate_schema"), "source1_entity_id", "target_entity_id")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one, three, labels = (table(spark, sf_dir, t) for t in ("top50_train_source1", "top50_train_source3", "train_matched_ids"))
+    return unlabelled_matches(spark, one, three, labels)
+
+
+def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one, three, labels = (table(spark, sf_dir, t) for t in ("top50_train_source1", "top50_train_source3", "train_matched_ids"))
+    return match(spark, one, three, labelled(labels))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n(table(spark, sf_dir, "candidate_schema"), "source1_entity_id", "target_entity_id", "candidate_score", "candidate_rank", 5)
 
@@ -37,7 +48,7 @@ def p6_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split(spark, table(spark, sf_dir, "train_folds"), table(spark, sf_dir, "train_matched_ids"), parts)
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split}
 
 SQL = {
     "p4_found": """
