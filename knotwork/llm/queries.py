@@ -10,6 +10,7 @@ from knotwork.llm.matching import labelled, match, unlabelled_matches
 from knotwork.llm.names import variants
 from knotwork.llm.splits import broken_by_folds, split
 from knotwork.llm.top_n import top_n
+from knotwork.llm.truncated import truncated, truncation_rates
 from knotwork.session import table
 
 
@@ -48,7 +49,15 @@ def p6_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split(spark, table(spark, sf_dir, "train_folds"), table(spark, sf_dir, "train_matched_ids"), parts)
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncated(spark, table(spark, sf_dir, "documents"))
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation_rates(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split, "p10_found": p10_found, "p10_rates": p10_rates}
 
 SQL = {
     "p4_found": """
