@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from knotwork.llm.addresses import same_premises
 from knotwork.llm.groups import consolidate
+from knotwork.llm.leaks import leaked, spans
 from knotwork.llm.matching import labelled, match, unlabelled_matches
 from knotwork.llm.names import variants
 from knotwork.llm.splits import broken_by_folds, split
@@ -49,6 +50,14 @@ def p6_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split(spark, table(spark, sf_dir, "train_folds"), table(spark, sf_dir, "train_matched_ids"), parts)
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncated(spark, table(spark, sf_dir, "documents"))
 
@@ -57,7 +66,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation_rates(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_rates": p10_rates}
 
 SQL = {
     "p4_found": """
