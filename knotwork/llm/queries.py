@@ -9,6 +9,7 @@ from knotwork.llm.groups import consolidate
 from knotwork.llm.leaks import leaked, spans
 from knotwork.llm.matching import labelled, match, unlabelled_matches
 from knotwork.llm.names import variants
+from knotwork.llm.packing import fill, pack
 from knotwork.llm.splits import broken_by_folds, split
 from knotwork.llm.top_n import top_n
 from knotwork.llm.truncated import truncated, truncation_rates
@@ -50,6 +51,18 @@ def p6_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split(spark, table(spark, sf_dir, "train_folds"), table(spark, sf_dir, "train_matched_ids"), parts)
 
 
+#: Tokens a container holds.
+CAPACITY = 4096
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(spark, table(spark, sf_dir, "documents"), CAPACITY)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill(pack(spark, table(spark, sf_dir, "documents"), CAPACITY), CAPACITY)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -66,7 +79,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation_rates(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_rates": p10_rates}
 
 SQL = {
     "p4_found": """
