@@ -152,6 +152,10 @@ def place(addresses: pd.Series) -> pd.DataFrame:
     return out.astype({"house": "Int32"})
 
 
+# not to be parsed a second time below an aggregation for the sake of a filter
+place = place.asNondeterministic()
+
+
 def _keys(house: int, street: str, town: str, state: str, postal: str) -> list[str]:
     c = code(street)
     keys = []
@@ -200,8 +204,8 @@ def same_place(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
     return _grade(a, b)
 
 
-def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column: str) -> DataFrame:
-    """(id, label) for every id whose address denotes a place; equal labels denote the same premises.
+def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column: str, parts: tuple[str, ...] = ()) -> DataFrame:
+    """(id, label, and of the reading the ``parts`` asked for) for every id whose address denotes a place; equal labels denote the same premises.
 
     Null, filler and unreadable addresses and those without a house number get no label. An id delivered twice may
     carry two. Identical readings are merged before any comparison.
@@ -217,6 +221,7 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column:
     pairs = keyed.toDF("na", "ra", "key").join(keyed.toDF("nb", "rb", "key"), "key").where("na < nb")
     # a weak key only serves pairs of which one side lacks town or postal code
     pairs = pairs.where(~F.col("key").startswith("S|") | (F.col("ra.town") == "") | (F.col("rb.town") == ""))
+    pairs = pairs.where("ra.kind = rb.kind or ra.kind = '' or rb.kind = ''").where(F.levenshtein("ra.street", "rb.street", 6) >= 0)
     graded = scratch.cut(pairs.select("na", "nb", same_place("ra", "rb").alias("g")).where("g > 0").distinct())
     strong = graded.where("g = 2").select(F.col("na").alias("a"), F.col("nb").alias("b"))
     firm = nodes.select("node", "town").join(labels_of(spark, strong, scratch).withColumnRenamed("id", "node"), "node", "left")
@@ -235,7 +240,7 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column:
     links = firm.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(to_firm.where("a = b").select(F.col("loose").alias("a"), "b")).unionByName(single)
     labels = labels_of(spark, links, scratch).withColumnRenamed("id", "node")
     of_node = nodes.join(labels, "node", "left").select(*fields, F.coalesce("label", "node").alias("label"))
-    return source.join(rows.join(of_node, fields).select("address", "label"), "address").select("id", "label").distinct()
+    return source.join(rows.join(of_node, fields).select("address", "label", *parts), "address").select("id", "label", *parts).distinct()
 
 
 def same_premises(spark: SparkSession, df: DataFrame, id_column: str, address_column: str, left: str = "entity_id_a", right: str = "entity_id_b") -> DataFrame:
