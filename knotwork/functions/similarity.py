@@ -57,7 +57,7 @@ def _jaro_winkler(A, la, B, lb, weight):
     r, c = np.nonzero(mb)
     sb[r, (np.cumsum(mb, 1) - 1)[r, c]] = B[r, c]
     w = min(wa, wb)
-    t = (sa[:, :w] != sb[:, :w]).sum(1) / 2
+    t = (sa[:, :w] != sb[:, :w]).sum(1) // 2  # whole transpositions
     with np.errstate(divide="ignore", invalid="ignore"):
         jaro = np.where(m > 0, (m / np.maximum(la, 1) + m / np.maximum(lb, 1) + (m - t) / np.maximum(m, 1)) / 3, 0.0)
     jaro = np.where((la == 0) & (lb == 0), 1.0, jaro)
