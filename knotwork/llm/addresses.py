@@ -237,9 +237,11 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column:
     loose = loose.join(to_firm.select(F.col("loose").alias("a")), "a", "left_anti").join(to_firm.select(F.col("loose").alias("b")), "b", "left_anti")
     # among places without a town only an only neighbour is taken
     single = loose.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("c")).where("b = c").select("a", "b")
-    links = firm.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(to_firm.where("a = b").select(F.col("loose").alias("a"), "b")).unionByName(single)
-    labels = labels_of(spark, links, scratch).withColumnRenamed("id", "node")
-    of_node = nodes.join(labels, "node", "left").select(*fields, F.coalesce("label", "node").alias("label"))
+    # only places that incomplete ones touch can still grow
+    links = to_firm.where("a = b").select(F.col("loose").alias("a"), "b").unionByName(single)
+    grown = labels_of(spark, links, scratch)
+    base = nodes.join(firm.select("node", "label"), "node", "left").select(*fields, F.coalesce("label", "node").alias("base"))
+    of_node = base.join(grown, base["base"] == grown["id"], "left").select(*fields, F.coalesce("label", "base").alias("label"))
     return source.join(rows.join(of_node, fields).select("address", "label", *parts), "address").select("id", "label", *parts).distinct()
 
 

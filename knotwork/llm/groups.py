@@ -36,12 +36,12 @@ def labels_of(spark: SparkSession, edges: DataFrame, scratch: Scratch, max_round
         if len(rounds) >= max_rounds:
             raise RuntimeError(f"labels still change after {max_rounds} rounds")
         both = now.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
-        parent = scratch.cut(both.groupBy(F.col("e.a").alias("id")).agg(F.least(F.col("e.a"), F.min("e.b")).alias("p")).select("id", "p"))
+        parent = both.groupBy(F.col("e.a").alias("id")).agg(F.least(F.col("e.a"), F.min("e.b")).alias("p")).select("id", "p")
         jumped = scratch.cut(lookup_join(parent, "p", parent, "id", "p", "label").select("id", "label"))
         # every id is an end of an edge, so each lookup finds its row
         moved = lookup_join(lookup_join(now, "a", jumped, "id", "label", "la"), "b", jumped, "id", "label", "lb")
         after = scratch.cut(_ordered(moved.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
-        scratch.drop(now, parent)
+        scratch.drop(now)
         rounds.append(jumped)
         now = after
     scratch.drop(now)
