@@ -14,8 +14,9 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p7_found": p7_found}
 
-SQL = {
-    "p7_found": r"""
+#: Values of every packed field, in order; fields without any have an empty list.
+UNPACKED = r"""
+select source1_entity_id, v from (
 with parts as (
   select source1_entity_id,
          regexp_extract_all(matched_entity_ids, '"(?:[^"]|"")*"|''[^'']*''|[^\s,;|，/\[\]{}()]+') as raw
@@ -26,7 +27,12 @@ vals as (
            list_transform(raw, lambda x: trim(case when x[1] = '"' then replace(x[2:-2], '""', '"') when x[1] = '''' then x[2:-2] else x end)),
            lambda x: lower(x) not in ('', 'none', 'null', 'nan', '-')) as v
   from parts)
+select * from vals)
+"""
+
+SQL = {
+    "p7_found": f"""
 select distinct source1_entity_id, cast(i as integer) as value_no, v[i] as matched_value
-from (select source1_entity_id, v, unnest(range(1, len(v) + 1)) as i from vals)
+from (select source1_entity_id, v, unnest(range(1, len(v) + 1)) as i from ({UNPACKED}))
 """,
 }
