@@ -36,6 +36,11 @@ def _micro(c) -> Column:
     return F.round((c if isinstance(c, Column) else F.lit(float(c))) * MILLION).cast("long")
 
 
+def _two_places(c) -> Column:
+    """Millionths as a number with two places, half up, by whole-number arithmetic."""
+    return F.floor((F.col(c) + 5_000) / 10_000) / 100
+
+
 def deliveries_once(df: DataFrame) -> DataFrame:
     """One row an entity_id: the first by name, address and country, nulls last."""
     w = Window.partitionBy("entity_id").orderBy(*[F.asc_nulls_last(c) for c in ("business_name", "business_address", "country")])
@@ -175,7 +180,7 @@ def candidate_schema(pairs: DataFrame) -> DataFrame:
     """Ranked pairs in the layout of the candidate table: score to two places, channel flags, number and mask."""
     flags = [F.getbit("mask", F.lit(b)).cast("tinyint").alias(c) for c, (b, _) in CHANNELS.items()]
     return pairs.select(
-        F.col("s1").alias("source1_entity_id"), F.col("tgt").alias("target_entity_id"), F.round(F.col("score") / MILLION, 2).cast("float").alias("candidate_score"),
+        F.col("s1").alias("source1_entity_id"), F.col("tgt").alias("target_entity_id"), _two_places("score").cast("float").alias("candidate_score"),
         F.col("rank").cast("smallint").alias("candidate_rank"), *flags, F.col("channels").cast("tinyint").alias("num_channels"), F.col("mask").cast("smallint").alias("channel_mask"),
     )
 
@@ -212,7 +217,7 @@ def scored_blocking(left: DataFrame, right: DataFrame, k: int = 35, token_most:
     all_hits = exact.unionByName(_weighted_tokens(l, r, "name_tokens", 1, token_most, 1.0)).unionByName(_weighted_tokens(l, r, "addr_tokens", 2, address_most, 0.7)).unionByName(postal)
     summed = all_hits.groupBy("s1", "tgt").agg(F.sum("w").alias("score"))
     w = Window.partitionBy("s1").orderBy(F.desc("score"), "tgt")
-    return summed.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("s1", "tgt", F.round(F.col("score") / MILLION, 2).alias("score"), "rank")
+    return summed.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("s1", "tgt", _two_places("score").alias("score"), "rank")
 
 
 def cascade_blocking(left: DataFrame, right: DataFrame, k: int = 25, bigram_most: int = 15_000, token_most: int = 20_000, postal_most: int = 500) -> DataFrame:

@@ -42,7 +42,7 @@ def macro(scores: DataFrame, *by: str) -> DataFrame:
 def step_of(prob: Column, start: float, step: float, n: int) -> Column:
     """How many of the ``n`` thresholds from ``start`` on a probability reaches; null reaches none."""
     k = F.floor((prob - start) / step + 1e-7) + 1
-    return F.coalesce(F.greatest(F.lit(0), F.least(F.lit(n), k)), F.lit(0)).cast("int")
+    return F.when(prob.isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(n), k))).cast("int")
 
 
 def sweep(pairs: DataFrame, truth: DataFrame, entities: DataFrame, n: int, by: list[str] | None = None) -> DataFrame:

@@ -161,7 +161,7 @@ t3 as (select *, in1 or in2 as in12, count(*) filter (in1 or in2) over (partitio
 t4 as (select *, not in12 and row_number() over (partition by s1, in12 order by name desc, score desc, tgt) <= {k} - has and name >= {worth} as in3 from t3),
 t5 as (select *, in12 or in3 as in123, count(*) filter (in12 or in3) over (partition by s1) as has2 from t4),
 t6 as (select *, row_number() over (partition by s1, in123 order by score desc, tgt) as r4 from t5)
-select s1 as source1_entity_id, tgt as target_entity_id, cast(round(score / {B.MILLION}, 2) as float) as candidate_score,
+select s1 as source1_entity_id, tgt as target_entity_id, cast(((score + 5000) // 10000) / 100 as float) as candidate_score,
        cast(row_number() over (partition by s1 order by score desc, tgt) as smallint) as candidate_rank, {flags},
        cast(n as tinyint) as num_channels, cast(mask as smallint) as channel_mask
 from t6 where in123 or r4 <= {k} - has2"""
@@ -195,7 +195,7 @@ hits as (
   union all select l.entity_id, r.entity_id, 2 * {B.MILLION} from l join few using (country, postal_clean) join r using (country, postal_clean) where l.name_clean <> '' and r.name_clean <> ''),
 summed as (select s1, tgt, sum(w) as score from hits group by s1, tgt),
 ranked as (select *, row_number() over (partition by s1 order by score desc, tgt) as rank from summed)
-select s1, tgt, round(cast(score as bigint) / {B.MILLION}, 2) as score, cast(rank as integer) as rank from ranked where rank <= 35""",
+select s1, tgt, ((cast(score as bigint) + 5000) // 10000) / 100 as score, cast(rank as integer) as rank from ranked where rank <= 35""",
     "blocking_cascade": f"""
 with {sides()}, rk as materialized ({_stages('r', 'tgt')}), lk as ({_stages('l', 's1')}),
 few as (select country, stage, key from rk group by all having count(*) <= case any_value(stage) when 1 then 2147483647 when 2 then 15000 when 3 then 20000 else 500 end),

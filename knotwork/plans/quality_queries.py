@@ -259,7 +259,7 @@ def swept(pairs: str, grid: tuple, by: str = "1", entities: str = "universe", tr
 
 def step_sql(grid: tuple, prob: str = "prob") -> str:
     start, step, n = grid
-    return f"coalesce(greatest(0, least({n}, cast(floor(({prob} - {start}) / {step} + 1e-7) as integer) + 1)), 0)"
+    return f"(case when {prob} is null then 0 else greatest(0, least({n}, cast(floor(({prob} - {start}) / {step} + 1e-7) as integer) + 1)) end)"
 
 
 def theta_sql(k: str, grid: tuple) -> str:

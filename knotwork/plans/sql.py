@@ -85,9 +85,9 @@ def postal_code(raw: str, country: str) -> str:
 
 
 def unit_number(raw: str) -> str:
-    # word boundaries here know only plain letters, so they are spelt out
-    edges = [p.replace(r"(?i)\b", r"(?i)(?:^|[^\p{L}\p{N}_])").replace(r"+)\b", r"+)(?:[^\p{L}\p{N}_]|$)") for p in V.UNIT_PATTERNS]
-    found = [f"nullif(regexp_replace(lower(regexp_extract({raw}, {q(p)}, 1)), '[^a-z0-9\\-]', '', 'g'), '')" for p in edges]
+    # word boundaries here know only plain letters; an underscore stands in for others
+    raw = f"regexp_replace({raw}, '[À-ÖØ-öø-ɏḀ-ỿऀ-ॿ]', '_', 'g')"
+    found = [f"nullif(regexp_replace(lower(regexp_extract({raw}, {q(p)}, 1)), '[^a-z0-9\\-]', '', 'g'), '')" for p in V.UNIT_PATTERNS]
     return f"coalesce({', '.join(found)}, '')"
 
 

@@ -60,7 +60,7 @@ def write_tsv(df: DataFrame, path: str, order: str | None = None) -> None:
     """Tab-separated with a header. With ``order`` the files, read in order of their names, are in its order."""
     if order:
         df = df.orderBy(order)
-    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("nullValue", "").csv(path)
+    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("escape", "\"").option("emptyValue", "").option("nullValue", "").csv(path)
 
 
 def to_report(df: DataFrame) -> str:
