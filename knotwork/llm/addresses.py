@@ -77,6 +77,18 @@ _WORD = re.compile(r"[a-z0-9']+")
 _LETTER = str.maketrans("013578", "oiestb")
 
 
+_RUN = re.compile(r"[a-z0-9]+")
+_NUMBERED = re.compile(r"\d+(?:[a-z]|st|nd|rd|th|er)?")
+
+
+def _letters(m: re.Match) -> str:
+    """A word in which digits were typed for letters, with letters; numbers with a letter or an ending stay."""
+    w = m[0]
+    if w.isalpha() or _NUMBERED.fullmatch(w):
+        return w
+    return re.sub(r"(?<=[aeiou])1|1(?=[aeiou])", "l", w).translate(_LETTER)
+
+
 @Memo
 def state_of(word: str) -> str | None:
     return _near(word, _STATE_NAMES, _STATE_NEAR, 2) if len(word) >= 4 else None
@@ -90,11 +102,11 @@ def parse(address: str | None) -> tuple[int, str, str, str, str, str] | None:
     if not address or plain(address).strip() in FILLERS:
         return None
     t = plain(address.replace("\xa0", " ")).strip()
-    if re.search(r"#\s?#+|[*x]{2,}\d|\d[*]{1,}|\*\d", t):
+    if re.search(r"#\s?#+|[*x]{2}\d|\d\*|\*\d", t):
         return None
     t = _OCR.sub(lambda m: m[0].translate(str.maketrans("oil", "011")), t)
     # other digits inside words are letters
-    t = re.sub(r"[a-z]*\d*[a-z]+[a-z0-9]*", lambda m: m[0] if not any(c.isdigit() for c in m[0]) or re.fullmatch(r"\d+(?:[a-z]|st|nd|rd|th|er)", m[0]) else re.sub(r"(?<=[aeiou])1|1(?=[aeiou])", "l", m[0]).translate(_LETTER), t)
+    t = _RUN.sub(_letters, t)
     t = _CUT.sub("|", t)
     t = _UNIT.sub("|", t)
     t = _LANDMARK.sub("|", t)
