@@ -12,21 +12,24 @@ from knotwork.operators import blocking as B
 from knotwork.operators.idf import idf_table
 from knotwork.plans import sql as S
 from knotwork.plans.text_queries import raw
-from knotwork.session import table
+from knotwork.session import Scratch, table
 
 K = 50
 
 
 def queries_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.clean_entities(B.deliveries_once(table(spark, sf_dir, "top50_train_source1")))
+    """Clean entities of the query side, written once, since every channel reads them again."""
+    return Scratch(spark).cut(N.clean_entities(B.deliveries_once(table(spark, sf_dir, "top50_train_source1"))))
 
 
 def targets_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.clean_entities(B.deliveries_once(raw(spark, sf_dir, "top50_train_source2", "top50_train_source3")))
+    """Clean entities of the target side, written once."""
+    return Scratch(spark).cut(N.clean_entities(B.deliveries_once(raw(spark, sf_dir, "top50_train_source2", "top50_train_source3"))))
 
 
 def idf_of(targets: DataFrame) -> DataFrame:
-    return idf_table(targets, {"name": "name_tokens", "addr": "addr_tokens"})
+    """Token weights of the target side, written once."""
+    return Scratch(targets.sparkSession).cut(idf_table(targets, {"name": "name_tokens", "addr": "addr_tokens"}))
 
 
 def idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
