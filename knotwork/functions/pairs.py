@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from knotwork.functions.similarity import jaro_winkler, ratio
+from knotwork.functions.similarity import jaro_winkler, lcs_bits, masks, ratio
 
 
 @F.pandas_udf(T.DoubleType())
@@ -45,23 +47,43 @@ def token_set_ratio(a: list[str], b: list[str]) -> np.ndarray:
     return np.where(fixed >= 0, fixed, r)
 
 
+def _best_window(s: str, t: str) -> float:
+    """Best ratio of ``s`` against the windows of its length in the longer ``t``, cut ones at the ends too.
+
+    Windows are tried in the order of the most their letters could give, until no other can be better.
+    """
+    n, places = len(s), masks(s)
+    need, have, shared, bounds = Counter(s), Counter(), 0, []
+    for end in range(len(t) + n - 1):
+        if end < len(t):
+            c = t[end]
+            have[c] += 1
+            shared += have[c] <= need[c]
+        if end >= n:
+            c = t[end - n]
+            shared -= have[c] <= need[c]
+            have[c] -= 1
+        lo, hi = max(0, end - n + 1), min(end + 1, len(t))
+        bounds.append((200.0 * shared / (n + hi - lo), lo, hi))
+    best = 0.0
+    for bound, lo, hi in sorted(bounds, reverse=True):
+        if bound <= best:
+            break
+        best = max(best, 200.0 * lcs_bits(places, n, t[lo:hi]) / (n + hi - lo))
+    return best
+
+
 def partial_ratio(a: list[str], b: list[str]) -> np.ndarray:
-    """Best ratio of the shorter text against all windows of its length in the longer one, cut ones at the ends too."""
-    xs: list[str] = []
-    ys: list[str] = []
-    owner: list[int] = []
-    for i, (x, y) in enumerate(zip(a, b)):
-        ways = [(x, y)] if len(x) < len(y) else [(y, x)] if len(y) < len(x) else [(x, y), (y, x)]
-        for s, t in ways:
-            n = len(s)
-            windows = {t[max(0, k) : k + n] for k in range(1 - n, len(t))} if n else {""}
-            xs += [s] * len(windows)
-            ys += list(windows)
-            owner += [i] * len(windows)
+    """Best ratio of the shorter text against the windows of the longer one; of equal lengths either way."""
     out = np.zeros(len(a))
-    if xs:
-        np.maximum.at(out, np.array(owner), ratio(xs, ys))
-    return np.where([not x or not y for x, y in zip(a, b)], [100.0 if x == y else 0.0 for x, y in zip(a, b)], out)
+    for i, (x, y) in enumerate(zip(a, b)):
+        if not x or not y:
+            out[i] = 100.0 if x == y else 0.0
+        elif len(x) == len(y):
+            out[i] = max(_best_window(x, y), _best_window(y, x))
+        else:
+            out[i] = _best_window(*sorted((x, y), key=len))
+    return out
 
 
 def weighted_ratio(a: list[str], b: list[str]) -> np.ndarray:

@@ -67,10 +67,38 @@ def _jaro_winkler(A, la, B, lb, weight):
     return jaro + prefix * weight * (1 - jaro)
 
 
+def masks(s: str) -> dict[str, int]:
+    """For each letter the places where it stands, as bits."""
+    out: dict[str, int] = {}
+    for i, c in enumerate(s):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def lcs_bits(places: dict[str, int], n: int, b: str) -> int:
+    """Length of the longest common subsequence of a text of ``n`` letters, given by its masks, and ``b``.
+
+    One addition of long integers a letter; zeros of the state are the steps of the table's last row.
+    """
+    full = (1 << n) - 1
+    state = full
+    for c in b:
+        u = state & places.get(c, 0)
+        state = ((state + u) | (state - u)) & full
+    return n - state.bit_count()
+
+
+#: From this length on a loop over letters with long integers beats vectors over pairs.
+LONG = 16
+
+
 def lcs(a: list[str], b: list[str]) -> np.ndarray:
     """Length of the longest common subsequence."""
     out = np.zeros(len(a), np.int64)
     for at, x, y in _blocks(a, b):
+        if max(map(len, x), default=0) > LONG and max(map(len, y), default=0) > LONG:
+            out[at] = [lcs_bits(masks(p), len(p), q) for p, q in zip(x, y)]
+            continue
         A, la = codes(x)
         B, lb = codes(y)
         row = np.zeros((len(x), B.shape[1] + 1), np.int16)

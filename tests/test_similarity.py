@@ -52,6 +52,25 @@ def test_jaro_winkler_against_sql():
     assert np.allclose(P.similar(t.a.tolist(), t.b.tolist()), expected, atol=1e-9)
 
 
+def test_partial_ratio_against_all_windows():
+    a, b = samples(400, "abc", 10)
+
+    def slow(x, y):
+        best = 0.0
+        for s, t in [(x, y)] if len(x) < len(y) else [(y, x)] if len(y) < len(x) else [(x, y), (y, x)]:
+            for k in range(1 - len(s), len(t)):
+                w = t[max(0, k) : k + len(s)]
+                best = max(best, 200 * slow_lcs(s, w) / (len(s) + len(w)))
+        return best
+
+    assert np.allclose(P.partial_ratio(a, b), [slow(*x) if all(x) else (100.0 if x[0] == x[1] else 0.0) for x in zip(a, b)])
+
+
+def test_long_texts_take_the_same_way():
+    a, b = samples(200, "abcd", 60)
+    assert lcs(a, b).tolist() == [slow_lcs(*x) for x in zip(a, b)]
+
+
 def test_edges():
     assert jaro_winkler(["", "", "a"], ["", "x", "a"]).tolist() == [1.0, 0.0, 1.0]
     assert ratio(["kitten"], ["sitting"])[0] == pytest.approx(61.538, abs=1e-3)
