@@ -28,30 +28,42 @@ def _ordered(e: DataFrame) -> DataFrame:
     )
 
 
+#: So many edges fit one task, so lookups over no more of them need no care for hot keys. Results don't depend on it.
+FEW = 500_000
+
+
+def _lookup(few: bool, big: DataFrame, key: str, small: DataFrame, small_key: str, value: str, out: str, keep: bool = False) -> DataFrame:
+    if not few:
+        return lookup_join(big, key, small, small_key, value, out, keep)
+    values = small.select(F.col(small_key).alias("_lk"), F.col(value).alias(out))
+    return big.join(values, F.col(key) == F.col("_lk"), "left" if keep else "inner").drop("_lk")
+
+
 def labels_of(spark: SparkSession, edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
     """(id, label) for every id in ``edges(a, b)``: the smallest id of its component. Null ends are ignored."""
     now = scratch.cut(_ordered(edges.select("a", "b").where("a is not null and b is not null")))
-    rounds: list[DataFrame] = []
-    while not now.isEmpty():
+    rounds: list[tuple[DataFrame, bool]] = []
+    while n := now.count():
         if len(rounds) >= max_rounds:
             raise RuntimeError(f"labels still change after {max_rounds} rounds")
+        few = n <= FEW
         both = now.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
         parent = both.groupBy(F.col("e.a").alias("id")).agg(F.least(F.col("e.a"), F.min("e.b")).alias("p")).select("id", "p")
-        jumped = scratch.cut(lookup_join(parent, "p", parent, "id", "p", "label").select("id", "label"))
+        jumped = scratch.cut(_lookup(few, parent, "p", parent, "id", "p", "label").select("id", "label"))
         # every id is an end of an edge, so each lookup finds its row
-        moved = lookup_join(lookup_join(now, "a", jumped, "id", "label", "la"), "b", jumped, "id", "label", "lb")
+        moved = _lookup(few, _lookup(few, now, "a", jumped, "id", "label", "la"), "b", jumped, "id", "label", "lb")
         after = scratch.cut(_ordered(moved.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
         scratch.drop(now)
-        rounds.append(jumped)
+        rounds.append((jumped, few))
         now = after
     scratch.drop(now)
     if not rounds:
         kind = edges.schema["a"].dataType.simpleString()
         return spark.createDataFrame([], f"id {kind}, label {kind}")
-    final = rounds[-1]
-    for earlier in reversed(rounds[:-1]):
+    final = rounds[-1][0]
+    for earlier, few in reversed(rounds[:-1]):
         # a label that is no end of a later edge has reached its group's label
-        composed = lookup_join(earlier, "label", final.withColumnRenamed("label", "top"), "id", "top", "top", keep=True)
+        composed = _lookup(few, earlier, "label", final.withColumnRenamed("label", "top"), "id", "top", "top", keep=True)
         composed = scratch.cut(composed.select("id", F.coalesce("top", "label").alias("label")))
         scratch.drop(earlier, final)
         final = composed
