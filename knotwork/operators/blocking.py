@@ -254,3 +254,19 @@ def intersection_blocking(left: DataFrame, right: DataFrame, idf: DataFrame, top
     two = hits.groupBy("s1", "tgt").agg(F.count("*").alias("shared"), F.count_if(F.col("f") == "n").alias("n")).where("shared >= 2 and n >= 1").drop("n")
     w = Window.partitionBy("s1").orderBy(F.desc("shared"), "tgt")
     return two.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def union_blocking(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(s1, tgt, shared) of all pairs of one country with an equal name, a shared token, or an equal postal code.
+
+    ``shared`` counts what they share. No key is passed over, so this is for small tables and as a measure of recall.
+    """
+    def keyed(df: DataFrame, out: str) -> DataFrame:
+        tag = lambda t, a: F.transform(a, lambda k: F.concat(F.lit(t), k))
+        keys = F.flatten(F.array(
+            tag("n:", F.filter(F.array("name_clean"), lambda x: x != "")), tag("t:", F.array_distinct("name_tokens")),
+            tag("a:", F.array_distinct("addr_tokens")), tag("p:", F.filter(F.array("postal_clean"), lambda x: F.length(x) >= 4)),
+        ))
+        return df.where("country is not null").select("country", F.col("entity_id").alias(out), F.explode(keys).alias("key"))
+
+    return keyed(left, "s1").join(keyed(right, "tgt"), ["country", "key"]).groupBy("s1", "tgt").agg(F.count("*").alias("shared"))

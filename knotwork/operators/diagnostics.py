@@ -135,3 +135,13 @@ def quality(rows: DataFrame, features: list[str], label: str = "label") -> DataF
         "feature", "positives", "negatives", mean("sp", "positives").alias("mean_positive"), mean("sn", "negatives").alias("mean_negative"),
         sd("qp", "sp", "positives").alias("sd_positive"), sd("qn", "sn", "negatives").alias("sd_negative"), F.greatest(a, 1 - a).alias("auc"), "ks",
     )
+
+
+def miss_forensics(misses: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(s1, tgt, shared_name_tokens, shared_addr_tokens, same_country, edits) of missed pairs; edits of the cleaned names."""
+    p = pair_records(misses, left, right)
+    shared = lambda f: F.size(F.array_intersect(F.col(f"l.{f}"), F.col(f"r.{f}")))
+    return p.select(
+        "s1", "tgt", shared("name_tokens").alias("shared_name_tokens"), shared("addr_tokens").alias("shared_addr_tokens"),
+        F.coalesce(F.col("l.country") == F.col("r.country"), F.lit(False)).alias("same_country"), F.levenshtein("l.name_clean", "r.name_clean").alias("edits"),
+    )

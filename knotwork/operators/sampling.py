@@ -58,3 +58,13 @@ def disjoint_split(df: DataFrame, id_column: str, share: float = 0.85, seed: int
     """Rows with ``part`` train or validation; all rows of one id fall into one part."""
     bucket = F.conv(F.substring(lot(seed, id_column), 1, 7), 16, 10).cast("double") / 16**7
     return df.withColumn("part", F.when(bucket < share, "train").otherwise("validation"))
+
+
+def chance(seed: int, *columns) -> Column:
+    """A number from 0 up to 1 that depends on the columns alone."""
+    return F.conv(F.substring(lot(seed, *columns), 1, 7), 16, 10).cast("double") / 16**7
+
+
+def random_sample(df: DataFrame, n: int, id_column: str = "entity_id", seed: int = 42) -> DataFrame:
+    """``n`` rows by lot, the same in every run; every task first keeps its own ``n`` lowest lots."""
+    return df.withColumn("_l", lot(seed, id_column)).orderBy("_l", id_column).limit(n).drop("_l")

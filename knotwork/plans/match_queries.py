@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 
 from knotwork.functions import vocabulary as V
 from knotwork.ml import model
+from knotwork.functions import normalize as N
 from knotwork.operators import blocking as B
+from knotwork.operators import diagnostics as D
 from knotwork.operators import features as X
 from knotwork.operators import metrics as M
 from knotwork.operators import sampling as P
+from knotwork.operators import stress as Z
 from knotwork.operators import truth as T
 from knotwork.operators.validate import violations
 from knotwork.plans import sql as S
 from knotwork.plans.core_queries import UNPACKED
-from knotwork.plans.blocking_queries import idf_of, queries_side, sides, targets_side
+from knotwork.plans.blocking_queries import _once, idf_of, queries_side, sides, targets_side
 from knotwork.plans.quality_queries import CAND, SCORED, TRUTH
 from knotwork.session import table
 from knotwork.sources.tables import packed_lists
@@ -85,6 +88,25 @@ def result_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations(table(spark, sf_dir, "train_matched_ids"), c, required)
 
 
+def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.random_sample(B.deliveries_once(table(spark, sf_dir, "top50_train_source3")), 500)
+
+
+def french_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Z.french_set(B.deliveries_once(table(spark, sf_dir, "top50_train_source1")))
+
+
+def blocking_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All shared keys of the query entities with source 2, counted by how much is shared."""
+    r = N.clean_entities(B.deliveries_once(table(spark, sf_dir, "top50_train_source2")))
+    return B.union_blocking(queries_side(spark, sf_dir), r).groupBy("shared").count()
+
+
+def miss_forensics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = T.ranked_candidates(table(spark, sf_dir, "candidate_schema"))
+    return D.miss_forensics(D.missed(c, _truth(spark, sf_dir)), queries_side(spark, sf_dir), targets_side(spark, sf_dir))
+
+
 def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Macro scores of a blend of two classifiers on entities neither was trained on, by threshold.
 
@@ -109,7 +131,7 @@ def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (candidate_rows, plain_features, pair_features, holdout_entities, fold_table, labelled_candidates, hard_negatives, entity_split, matched_lists, result_violations, trained_scores)
+    for f in (candidate_rows, plain_features, pair_features, holdout_entities, fold_table, labelled_candidates, hard_negatives, entity_split, matched_lists, result_violations, random_sample, french_set, blocking_union, miss_forensics, trained_scores)
 }
 
 ROWS = """
@@ -195,7 +217,37 @@ from p left join name_w n on n.s = source1_entity_id and n.t = target_entity_id
 _LABELLED = f"{ROWS}, labelled as materialized (select source1_entity_id, target_entity_id, cast(t.s1 is not null as tinyint) as label from rows_ left join truth t on t.s1 = source1_entity_id and t.tgt = target_entity_id)"
 _ONCE = "(select * from (select *, row_number() over (partition by entity_id order by business_name nulls last, business_address nulls last, country nulls last) as n from top50_train_source1 where entity_id is not null) where n = 1)"
 
+_CHANCE = lambda *c: f"cast(('0x' || md5('42|' || {' || chr(124) || '.join(c)})[1:7]) as bigint) / 268435456"
+_LETTER = "case " + " ".join(f"when c = '{p}' then '{f}'[cast(floor({_CHANCE('entity_id', chr(39) + 'form' + chr(39), '(i - 1)')} * {len(f)}) as integer) + 1]" for p, f in V.ACCENTED.items()) + " else c end"
+_ENDING = "case " + " ".join(f"when regexp_matches(n, {S.q(p)}) then regexp_replace(n, {S.q(p)}, {S.q(e)}, 'g')" for p, e in V.FRENCH_ENDINGS) + " else n end"
+# word boundaries here know only plain letters, so the first one is spelt out
+_STREETS = [("(^|[^\\p{L}\\p{N}_])(?:" + p.removeprefix(r"\b("), r"\1" + kind) for p, kind in V.FRENCH_STREETS]
+_SHARED_KEYS = " union all ".join(
+    f"select country, entity_id, '{t}' || k as key from (select country, entity_id, unnest({a}) as k from {{side}} where country is not null)"
+    for t, a in (("n:", "list_filter([name_clean], lambda x: x <> '')"), ("t:", "name_tokens"), ("a:", "addr_tokens"), ("p:", "list_filter([postal_clean], lambda x: length(x) >= 4)"))
+)
+_ONCE_OF = lambda t: f"(select * exclude (n) from (select *, row_number() over (partition by entity_id order by business_name nulls last, business_address nulls last, country nulls last) as n from {t} where entity_id is not null) where n = 1)"
+
 SQL = {
+    "random_sample": f"select * from {_ONCE_OF('top50_train_source3')} order by md5('42|' || entity_id), entity_id limit 500",
+    "french_set": f"""
+with a as (select entity_id, lower(coalesce(business_name, '')) as n, lower(coalesce(business_address, '')) as ad from {_ONCE_OF('top50_train_source1')}),
+b as (select *, {_ENDING} as m, {S.chained('ad', _STREETS)} as address from a)
+select 'FR_SYN_' || entity_id as entity_id, 'France' as country,
+       case when {_CHANCE('entity_id', "'name'")} < 0.35 then array_to_string(list_transform(list_filter(string_split(m, ''), lambda c: c <> ''),
+         lambda c, i: case when {_CHANCE('entity_id', "'letter'", '(i - 1)')} < 0.25 then {_LETTER} else c end), '') else m end as name,
+       address, ([{', '.join(map(S.q, V.FRENCH_POSTAL_CODES))}])[cast(floor({_CHANCE('entity_id', "'code'")} * {len(V.FRENCH_POSTAL_CODES)}) as integer) + 1] as postal_code, entity_id as original_entity_id
+from b""",
+    "blocking_union": f"""
+with {sides()}, {_once(('top50_train_source2',), 'x')}, {S.clean_entities('x_once', 'x')},
+a as ({_SHARED_KEYS.format(side='l')}), b as ({_SHARED_KEYS.format(side='x')}),
+p as (select a.entity_id as s1, b.entity_id as tgt, count(*) as shared from a join b using (country, key) group by all)
+select shared, count(*) as count from p group by shared""",
+    "miss_forensics": f"""
+with {sides()}, {TRUTH}, {CAND}
+select s1, tgt, cast(len(list_intersect(l.name_tokens, r.name_tokens)) as integer) as shared_name_tokens, cast(len(list_intersect(l.addr_tokens, r.addr_tokens)) as integer) as shared_addr_tokens,
+       coalesce(l.country = r.country, false) as same_country, cast(levenshtein(l.name_clean, r.name_clean) as integer) as edits
+from (select * from truth anti join cand using (s1, tgt)) m join l on l.entity_id = m.s1 join r on r.entity_id = m.tgt""",
     "candidate_rows": f"with {ROWS} select * from rows_",
     "plain_features": _plain_sql(),
     "holdout_entities": """

@@ -123,3 +123,36 @@ def test_tables(spark, tmp_path):
     assert '"entity_id": "S1-1"' in IO.to_report(df.limit(1))
     packed = IO.packed_lists(spark.createDataFrame([("S1-1", "b", 2), ("S1-1", "a", 1)], "s1 string, tgt string, rank int"), df).orderBy("source1_entity_id").collect()
     assert [x.matched_entity_ids for x in packed] == ["a,b", ""]
+
+
+def test_union_blocking_and_forensics(spark):
+    from knotwork.functions.normalize import clean_entities
+    from knotwork.operators.diagnostics import miss_forensics
+
+    cols = "entity_id string, business_name string, business_address string, country string"
+    l = clean_entities(spark.createDataFrame([("S1-1", "Kelmavor Plumbing", "12 Main St 10001", "US"), ("S1-2", None, None, "US")], cols))
+    r = clean_entities(spark.createDataFrame([("S2-1", "Kelmavor Plumbing", "9 Side Rd 10001", "US"), ("S2-2", "Kelmavor Plumbing", None, "India"), ("S2-3", None, None, None)], cols))
+    got = {(x.s1, x.tgt): x.shared for x in B.union_blocking(l, r).collect()}
+    # the whole name, both of its words, the postal code as such and as a word
+    assert got == {("S1-1", "S2-1"): 5}
+    missed = miss_forensics(spark.createDataFrame([("S1-1", "S2-2"), ("S1-1", "S9-9")], "s1 string, tgt string"), l, r).collect()
+    assert [(x.shared_name_tokens, x.shared_addr_tokens, x.same_country, x.edits) for x in missed] == [(2, 0, False, 0)]
+
+
+def test_samples_repeat(spark):
+    df = spark.range(500).select(F.concat(F.lit("e"), "id").alias("entity_id"))
+    one = {r.entity_id for r in P.random_sample(df, 20).collect()}
+    assert len(one) == 20 and one == {r.entity_id for r in P.random_sample(df.repartition(7), 20).collect()} and one != {r.entity_id for r in P.random_sample(df, 20, seed=1).collect()}
+    share = df.select(P.chance(3, F.col("entity_id")).alias("x")).agg(F.avg("x")).collect()[0][0]
+    assert 0.4 < share < 0.6
+
+
+def test_french_guise(spark):
+    from knotwork.operators.stress import french_set
+
+    df = spark.createDataFrame([(f"S1-{i}", "Acme Bakery LLC", "12 Main Street", "US") for i in range(300)] + [("S1-x", None, None, None)], "entity_id string, business_name string, business_address string, country string")
+    rows = {r.original_entity_id: r for r in french_set(df).collect()}
+    assert rows["S1-x"].name == "" and all(r.address == "12 main rue" for k, r in rows.items() if k != "S1-x")
+    accented = [r for r in rows.values() if not r.name.isascii()]
+    assert 60 < len(accented) < 140 and all(r.country == "France" and r.entity_id == f"FR_SYN_{r.original_entity_id}" for r in rows.values())
+    assert any(r.name == "acme bakery sarl" for r in rows.values())
