@@ -375,3 +375,4 @@ select feature, count(*) filter (y = 1) as positives, count(*) filter (y = 0) as
        round(stddev_pop(x) filter (y = 1), 6) as sd_positive, round(stddev_pop(x) filter (y = 0), 6) as sd_negative, round(greatest(any_value(a), 1 - any_value(a)), 6) as auc, round(any_value(ks), 6) as ks
 from long join u using (feature) group by feature""",
 }
+SQL["error_counts"] = f"select error, count(*) as count from ({SQL['error_records']}) group by error"
