@@ -13,8 +13,11 @@ from knotwork.llm.packing import fill, pack
 from knotwork.llm.splits import broken_by_folds, split
 from knotwork.llm.top_n import top_n
 from knotwork.llm.truncated import truncated, truncation_rates
+from knotwork.plans.core_queries import SQL as CORE_SQL
 from knotwork.session import table
 
+P7_SQL = CORE_SQL["p7_found"]
+
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(spark, table(spark, sf_dir, "top50_train_source3"), "entity_id", "business_name")
@@ -81,7 +84,30 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p6_split": p6_split, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_rates": p10_rates}
 
+#: Smallest label of every node over the symmetric table ``edges(a, b)``, from a table ``nodes(id)``.
+_LABELS = """
+labels(id, label) using key (id) as (
+  select id, id from nodes
+  union
+  select e.b, min(w.label) from labels w join edges e on e.a = w.id join recurring.labels r on r.id = e.b where w.label < r.label group by e.b)"""
+
 SQL = {
+    "p2_found": f"""
+with recursive nodes as (
+  select distinct unnest([source1_entity_id, target_entity_id]) as id from candidate_schema),
+edges as (
+  select source1_entity_id as a, target_entity_id as b from candidate_schema where source1_entity_id is not null and target_entity_id is not null
+  union select target_entity_id, source1_entity_id from candidate_schema where source1_entity_id is not null and target_entity_id is not null),
+{_LABELS.replace('from nodes', 'from nodes where id is not null')}
+select id as record_id, label as group_id from labels""",
+    "p6_found": f"""
+with recursive v as (
+  select 'e:' || upper(trim(source1_entity_id)) as e, 'm:' || upper(regexp_extract(matched_value, '^\\s*([^\\s,;|/()]+)', 1)) as m from ({P7_SQL}) where source1_entity_id is not null),
+f as (select upper(trim(entity_id)) as id, fold_id from train_folds where trim(entity_id) <> ''),
+edges as (select e as a, m as b from v union select m, e from v), nodes as (select e as id from v union select m from v union select 'e:' || id from f),
+{_LABELS},
+rows_ as (select f.id, fold_id, label from f join labels l on l.id = 'e:' || f.id)
+select distinct id as entity_id from rows_ where label in (select label from rows_ group by label having count(distinct fold_id) > 1)""",
     "p4_found": """
 with once as (
   select source1_entity_id, target_entity_id, cast(candidate_score as double) as s, candidate_rank as r
