@@ -220,8 +220,8 @@ _ONCE = "(select * from (select *, row_number() over (partition by entity_id ord
 _CHANCE = lambda *c: f"cast(('0x' || md5('42|' || {' || chr(124) || '.join(c)})[1:7]) as bigint) / 268435456"
 _LETTER = "case " + " ".join(f"when c = '{p}' then '{f}'[cast(floor({_CHANCE('entity_id', chr(39) + 'form' + chr(39), '(i - 1)')} * {len(f)}) as integer) + 1]" for p, f in V.ACCENTED.items()) + " else c end"
 _ENDING = "case " + " ".join(f"when regexp_matches(n, {S.q(p)}) then regexp_replace(n, {S.q(p)}, {S.q(e)}, 'g')" for p, e in V.FRENCH_ENDINGS) + " else n end"
-# word boundaries here know only plain letters, so the first one is spelt out
-_STREETS = [("(^|[^\\p{L}\\p{N}_])(?:" + p.removeprefix(r"\b("), r"\1" + kind) for p, kind in V.FRENCH_STREETS]
+# word boundaries here know only plain letters, so both are spelt out
+_STREETS = [("(^|[^\\p{L}\\p{N}_])(?:" + p.removeprefix(r"\b(").removesuffix(r"\b") + "([^\\p{L}\\p{N}_]|$)", rf"\1{kind}\2") for p, kind in V.FRENCH_STREETS]
 _SHARED_KEYS = " union all ".join(
     f"select country, entity_id, '{t}' || k as key from (select country, entity_id, unnest({a}) as k from {{side}} where country is not null)"
     for t, a in (("n:", "list_filter([name_clean], lambda x: x <> '')"), ("t:", "name_tokens"), ("a:", "addr_tokens"), ("p:", "list_filter([postal_clean], lambda x: length(x) >= 4)"))
