@@ -102,6 +102,16 @@ def blocking_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.union_blocking(queries_side(spark, sf_dir), r).groupBy("shared").count()
 
 
+def union_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of the query entities with the targets of both sources that share a key, none passed over."""
+    return B.union_blocking(queries_side(spark, sf_dir), targets_side(spark, sf_dir))
+
+
+def union_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True pairs among the delivered entities of both sides, and how many of them share a key, by the target's source."""
+    return B.union_recall(queries_side(spark, sf_dir), targets_side(spark, sf_dir), _truth(spark, sf_dir))
+
+
 def miss_forensics(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = T.ranked_candidates(table(spark, sf_dir, "candidate_schema"))
     return D.miss_forensics(D.missed(c, _truth(spark, sf_dir)), queries_side(spark, sf_dir), targets_side(spark, sf_dir))
@@ -131,7 +141,7 @@ def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (candidate_rows, plain_features, pair_features, holdout_entities, fold_table, labelled_candidates, hard_negatives, entity_split, matched_lists, result_violations, random_sample, french_set, blocking_union, miss_forensics, trained_scores)
+    for f in (candidate_rows, plain_features, pair_features, holdout_entities, fold_table, labelled_candidates, hard_negatives, entity_split, matched_lists, result_violations, random_sample, french_set, blocking_union, union_pairs, union_recall, miss_forensics, trained_scores)
 }
 
 ROWS = """
