@@ -11,8 +11,9 @@ all inner blocks of the corpus tells how whole endings look; a cut at a hashed p
 endings look. The ratio of both likelihoods is formed from the look of the last line, its last word, and the number
 of cells against the number the source declared.
 
-Per source, and apart for values at and below the limit, the share of cut texts is then estimated by expectation
-maximisation from the censoring posterior as its start, and each text gets its posterior.
+The share of cut texts is estimated by expectation maximisation, apart for each limit of a source and for its other
+texts. At a limit the censoring posterior is its prior, with the weight of a few texts: whole texts may be filled up to
+a limit, so only endings can tell them where there are many. Each text then gets its posterior.
 """
 
 from __future__ import annotations
@@ -223,24 +224,28 @@ def censored_fit(n: float, s1: float, s2: float, censored: float, limit: float)
 
 #: A value within so many characters or bytes below a source's largest length is at its limit.
 NEAR = 4
-_CELLS = "source string, at_limit boolean, lr double, n long"
-_RATES = "source string, at_limit boolean, lr double, posterior double"
+#: So many texts the censoring posterior counts for in the share of cut texts at a limit.
+WEIGHT = 4.0
+_RATES = "source string, at_limit boolean, lr double, prior double, posterior double"
 
 
 def _share(cells: pd.DataFrame) -> pd.DataFrame:
-    """Posterior of a cut for every likelihood ratio met in one source."""
+    """Posterior of a cut for every likelihood ratio met in one source.
+
+    At a limit the censoring posterior counts like WEIGHT texts, so it decides where few texts are at the limit or their
+    endings say little, and endings overrule it where whole texts fill the limit up.
+    """
     out = []
-    for at, part in cells.groupby("at_limit"):
+    for (at, prior), part in cells.groupby(["at_limit", "prior"]):
         lr, n = part["lr"].to_numpy(float), part["n"].to_numpy(float)
-        pi = float(part["prior"].iloc[0])
+        weight = WEIGHT if at else 1.0
+        pi = prior
         for _ in range(300):
-            post = pi * lr / (pi * lr + 1 - pi)
-            new = float((n * post).sum() + (1.0 if at else 0.02)) / (n.sum() + (2.0 if at else 2.0))
+            new = float((n * pi * lr / (pi * lr + 1 - pi)).sum() + weight * prior) / (n.sum() + weight)
             if abs(new - pi) < 1e-9:
                 break
             pi = new
-        post = pi * lr / (pi * lr + 1 - pi)
-        out.append(pd.DataFrame({"source": part["source"], "at_limit": at, "lr": lr, "posterior": post}))
+        out.append(pd.DataFrame({"source": part["source"], "at_limit": at, "lr": lr, "prior": part["prior"], "posterior": pi * lr / (pi * lr + 1 - pi)}))
     return pd.concat(out)
 
 
@@ -299,9 +304,9 @@ def judge(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_
     scored = lookup_join(scored, "source", limits, "source", "of", "of", keep=True)
     at = F.coalesce(F.when(F.col("of.measure") == "chars", F.col("chars")).otherwise(F.col("bytes")) > F.col("of.limit") - NEAR, F.lit(False))
     scored = scratch.cut(scored.select("doc_id", "source", at.alias("at_limit"), "lr", F.when(at, F.col("of.prior")).otherwise(0.02).alias("prior")))
-    cells = scored.groupBy("source", "at_limit", "lr").agg(F.count("*").alias("n"), F.max("prior").alias("prior"))
-    rates = scratch.cut(cells.groupBy("source").applyInPandas(_share, _RATES).select(F.concat_ws("\x01", "source", "at_limit", "lr").alias("k"), "posterior"))
-    judged = lookup_join(scored.withColumn("_k", F.concat_ws("\x01", "source", "at_limit", "lr")), "_k", rates, "k", "posterior", "posterior")
+    cells = scored.groupBy("source", "at_limit", "lr", "prior").agg(F.count("*").alias("n"))
+    rates = scratch.cut(cells.groupBy("source").applyInPandas(_share, _RATES).select(F.concat_ws("\x01", "source", "at_limit", "lr", "prior").alias("k"), "posterior"))
+    judged = lookup_join(scored.withColumn("_k", F.concat_ws("\x01", "source", "at_limit", "lr", "prior")), "_k", rates, "k", "posterior", "posterior")
     rest = docs.where(f"`{text_column}` is null or `{text_column}` = ''").select(
         F.col(f"`{id_column}`").cast("string").alias("doc_id"), F.coalesce(F.col(f"`{source_column}`").cast("string"), F.lit("unknown")).alias("source"), F.lit(False).alias("at_limit"), F.lit(0.0).alias("posterior")
     )
@@ -323,7 +328,7 @@ def _limit(stats: pd.DataFrame) -> pd.DataFrame:
         density = math.exp(-z * z / 2) / math.sqrt(2 * math.pi) / sd * NEAR / r["top"]
         expected = density * (r["n"] + r["at"])
         if r["at"] > 4 * expected + 3 and (best is None or r["at"] > best["at"]):
-            best = {"measure": r["measure"], "limit": float(r["top"]), "prior": min(0.99, max(0.5, beyond / (beyond + density))), "mu": mu, "sd": sd, "at": int(r["at"])}
+            best = {"measure": r["measure"], "limit": float(r["top"]), "prior": beyond / (beyond + density), "mu": mu, "sd": sd, "at": int(r["at"])}
     return pd.DataFrame({"source": [stats["source"].iloc[0]], "of": [best]})
 
 
