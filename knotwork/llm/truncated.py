@@ -3,8 +3,8 @@
 Two kinds of evidence are weighed against each other for every text.
 
 *Length.* For each source a log-normal length distribution is fitted by maximum likelihood with the values at the
-source's limit taken as right-censored. The limit is looked for among characters and bytes (marks such as an ellipsis
-set aside); the censoring posterior of a value at the limit is the mass beyond it against the density there.
+source's limits taken as right-censored. Limits are the lengths, in characters or bytes (marks such as an ellipsis set
+aside), at which more values lie than the fit expects; a source may have several and longer values. The censoring posterior of a value at the limit is the mass beyond it against the density there.
 
 *Ending.* Text is divided into blocks (notebook JSON is whole exactly if it parses). How lines look at the ends of
 all inner blocks of the corpus tells how whole endings look; a cut at a hashed place of every text tells how cut
@@ -171,7 +171,7 @@ def examine(doc_id, text: str, declared) -> tuple[str, list[tuple], list[tuple[s
 
 
 _EXAMINED = (
-    "doc_id string, source string, chars long, bytes long, layout string, "
+    "doc_id string, source string, chars long, bytes long, h long, layout string, "
     "endings array<struct<role:string, mark:string, kind:string, shape:string, tail:string, state:string, cells:string>>, "
     "inner array<struct<kind:string, shape:string, tail:string, n:long>>"
 )
@@ -187,9 +187,9 @@ def _examine_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             layout, endings, inner = examine(doc_id, text, declared)
             ends.update(inner)
             stripped = _MARK.sub("", text) if _MARK.search(text[-24:]) else text
-            rows.append((doc_id, source, len(stripped), len(stripped.encode("utf-8", "replace")), layout, [dict(zip(_E, e)) for e in endings], []))
-        rows.append((None, None, 0, 0, None, [], [dict(zip(_I, (*k, n))) for k, n in ends.items()]))
-        yield pd.DataFrame(rows, columns=["doc_id", "source", "chars", "bytes", "layout", "endings", "inner"])
+            rows.append((doc_id, source, len(stripped), len(stripped.encode("utf-8", "replace")), zlib.crc32(text.encode("utf-8", "replace")), layout, [dict(zip(_E, e)) for e in endings], []))
+        rows.append((None, None, 0, 0, 0, None, [], [dict(zip(_I, (*k, n))) for k, n in ends.items()]))
+        yield pd.DataFrame(rows, columns=["doc_id", "source", "chars", "bytes", "h", "layout", "endings", "inner"])
 
 
 def _bucket(c) -> F.Column:
@@ -201,29 +201,32 @@ def _normal_sf(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def censored_fit(n: float, s1: float, s2: float, censored: float, limit: float) -> tuple[float, float]:
+def censored_fit(n: float, s1: float, s2: float, censored, limit) -> tuple[float, float]:
     """Mean and deviation of the logarithm of the length, ``censored`` values known only to reach ``limit``.
 
-    Expectation maximisation on the sufficient statistics of the uncensored values: the censored ones count with the
-    first two moments of the normal distribution beyond the limit.
+    Both may be lists, of several limits. Expectation maximisation on the sufficient statistics of the uncensored
+    values: the censored ones count with the first two moments of the normal distribution beyond their limit.
     """
-    mu = (s1 + censored * limit) / max(n + censored, 1)
-    sd = math.sqrt(max((s2 + censored * limit**2) / max(n + censored, 1) - mu * mu, 1e-4))
+    c, lim = np.atleast_1d(np.asarray(censored, float)), np.atleast_1d(np.asarray(limit, float))
+    total = n + c.sum()
+    mu = float(s1 + (c * lim).sum()) / max(total, 1)
+    sd = math.sqrt(max(float(s2 + (c * lim**2).sum()) / max(total, 1) - mu * mu, 1e-4))
     for _ in range(200):
-        z = (limit - mu) / sd
-        tail = max(_normal_sf(z), 1e-12)
-        h = math.exp(-z * z / 2) / math.sqrt(2 * math.pi) / tail
-        e1, e2 = mu + sd * h, mu * mu + sd * sd + sd * (limit + mu) * h
-        new_mu = (s1 + censored * e1) / (n + censored)
-        new_sd = math.sqrt(max((s2 + censored * e2) / (n + censored) - new_mu**2, 1e-4))
+        z = (lim - mu) / sd
+        h = np.exp(-z * z / 2) / math.sqrt(2 * math.pi) / np.maximum([_normal_sf(v) for v in z], 1e-12)
+        e1, e2 = mu + sd * h, mu * mu + sd * sd + sd * (lim + mu) * h
+        new_mu = float(s1 + (c * e1).sum()) / total
+        new_sd = math.sqrt(max(float(s2 + (c * e2).sum()) / total - new_mu**2, 1e-4))
         if abs(new_mu - mu) + abs(new_sd - sd) < 1e-7:
             return new_mu, new_sd
         mu, sd = new_mu, new_sd
     return mu, sd
 
 
-#: A value within so many characters or bytes below a source's largest length is at its limit.
+#: A value within so many characters or bytes below a limit of its source is at it.
 NEAR = 4
+#: Chance that a source without a limit shows one by the number of its lengths.
+CHANCE = 0.01
 #: So many texts the censoring posterior counts for in the share of cut texts at a limit.
 WEIGHT = 4.0
 _RATES = "source string, at_limit boolean, lr double, prior double, posterior double"
@@ -299,11 +302,12 @@ def judge(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_
     lr = lr + F.when(F.col("mark") == "mark", 7.0).otherwise(0.0)
     lr = F.when(F.col("kind") == "json", F.when(F.col("shape") == "broken", 14.0).otherwise(-14.0)).otherwise(lr)
     scored = scratch.cut(scored.select("doc_id", "source", "chars", "bytes", F.exp(F.round(F.greatest(F.lit(-14.0), F.least(F.lit(14.0), lr)), 2)).alias("lr")))
-    limits = limits_of(scored)
-    # one row a source and measure
+    limits = limits_of(texts)
+    # one row a source
     scored = lookup_join(scored, "source", limits, "source", "of", "of", keep=True)
-    at = F.coalesce(F.when(F.col("of.measure") == "chars", F.col("chars")).otherwise(F.col("bytes")) > F.col("of.limit") - NEAR, F.lit(False))
-    scored = scratch.cut(scored.select("doc_id", "source", at.alias("at_limit"), "lr", F.when(at, F.col("of.prior")).otherwise(0.02).alias("prior")))
+    x = lambda o: F.when(o["measure"] == "chars", F.col("chars")).otherwise(F.col("bytes"))
+    prior = F.array_max(F.transform(F.filter("of", lambda o: (x(o) > o["limit"] - NEAR) & (x(o) <= o["limit"])), lambda o: o["prior"]))
+    scored = scratch.cut(scored.select("doc_id", "source", prior.isNotNull().alias("at_limit"), "lr", F.coalesce(prior, F.lit(0.02)).alias("prior")))
     cells = scored.groupBy("source", "at_limit", "lr", "prior").agg(F.count("*").alias("n"))
     rates = scratch.cut(cells.groupBy("source").applyInPandas(_share, _RATES).select(F.concat_ws("\x01", "source", "at_limit", "lr", "prior").alias("k"), "posterior"))
     judged = lookup_join(scored.withColumn("_k", F.concat_ws("\x01", "source", "at_limit", "lr", "prior")), "_k", rates, "k", "posterior", "posterior")
@@ -313,38 +317,74 @@ def judge(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_
     return judged.select("doc_id", "source", "at_limit", "posterior").unionByName(rest)
 
 
-_LIMIT = "source string, of struct<measure:string, limit:double, prior:double, mu:double, sd:double, at:long>"
+_LIMIT = "source string, of array<struct<measure:string, limit:double, prior:double, at:long>>"
 
 
-def _limit(stats: pd.DataFrame) -> pd.DataFrame:
-    best = None
-    for _, r in stats.iterrows():
-        if r["at"] < 3 or r["n"] < 5:
-            continue
-        top = math.log(r["top"])
-        mu, sd = censored_fit(r["n"], r["s1"], r["s2"], r["at"], top)
-        z = (top - mu) / sd
-        beyond = _normal_sf(z)
-        density = math.exp(-z * z / 2) / math.sqrt(2 * math.pi) / sd * NEAR / r["top"]
-        expected = density * (r["n"] + r["at"])
-        if r["at"] > 4 * expected + 3 and (best is None or r["at"] > best["at"]):
-            best = {"measure": r["measure"], "limit": float(r["top"]), "prior": beyond / (beyond + density), "mu": mu, "sd": sd, "at": int(r["at"])}
-    return pd.DataFrame({"source": [stats["source"].iloc[0]], "of": [best]})
+def _poisson_tail(k: int, mean: float) -> float:
+    """Bound on the chance of ``k`` or more where ``mean`` are expected, for k above it (Chernoff)."""
+    return math.exp(k - mean - k * math.log(k / max(mean, 1e-12))) if k > mean else 1.0
+
+
+def _limits_in(x: np.ndarray, w: np.ndarray) -> list[tuple[float, float, int]]:
+    """(limit, censoring posterior, values there) of lengths ``x``, ascending, that occur ``w`` times each.
+
+    A length is a limit if more values lie within NEAR below it than the log-normal fit expects there, the values at
+    the limits found so far taken as censored. The largest excess is taken first and the rest fitted again. At the
+    largest length no correction for the number of places looked at is needed.
+    """
+    y, before = np.log(np.maximum(x, 1.0)), np.concatenate(([0], np.cumsum(w)))
+    at = before[1:] - before[np.searchsorted(x, x - NEAR, side="right")]
+    total, found, free, out = float(w.sum()), [], np.ones(len(x), bool), []
+    while True:
+        n = float(w[free].sum())
+        if n < 5:
+            break
+        mu, sd = censored_fit(n, float((w * y)[free].sum()), float((w * y * y)[free].sum()), [at[i] for i in found], [y[i] for i in found])
+        z = (y - mu) / sd
+        density = np.exp(-z * z / 2) / math.sqrt(2 * math.pi) / sd * NEAR / np.maximum(x, 1.0)
+        expected = density * total
+        out = []
+        for i in found:
+            # where values go on above, only the excess was censored
+            odds = min(_normal_sf(z[i]) / max(density[i], 1e-12), max(at[i] - expected[i], 0.0) / max(expected[i], 1e-12))
+            out.append((float(x[i]), odds / (1 + odds), int(at[i])))
+        likely = free & (at >= 3) & (at > 4 * expected + 3)
+        fits = [i for i in np.flatnonzero(likely) if i == len(x) - 1 or _poisson_tail(int(at[i]), expected[i]) * len(x) < CHANCE]
+        if not fits:
+            # the largest length is tried as censored, too: a fit without that may follow it
+            i = len(x) - 1
+            if not free[i] or at[i] < 3 or w[free & (x <= x[i] - NEAR)].sum() < 5:
+                break
+            rest = free & (x <= x[i] - NEAR)
+            m, s = censored_fit(float(w[rest].sum()), float((w * y)[rest].sum()), float((w * y * y)[rest].sum()), [at[j] for j in [*found, i]], [y[j] for j in [*found, i]])
+            e = math.exp(-(((y[i] - m) / s) ** 2) / 2) / math.sqrt(2 * math.pi) / s * NEAR / x[i] * total
+            if at[i] <= 4 * e + 3:
+                break
+            fits = [i]
+        best = max(fits, key=lambda i: (at[i] - expected[i], x[i]))
+        found.append(best)
+        free &= ~((x > x[best] - NEAR) & (x <= x[best]))
+    return out
+
+
+def _limit(lengths: pd.DataFrame) -> pd.DataFrame:
+    best: list[dict] = []
+    for measure, part in lengths.sort_values(["measure", "x"], ascending=[False, True]).groupby("measure", sort=False):
+        found = [{"measure": measure, "limit": l, "prior": p, "at": n} for l, p, n in _limits_in(part["x"].to_numpy(float), part["n"].to_numpy(float))]
+        # a limit of characters echoes in bytes as many small piles
+        if max((f["at"] for f in found), default=0) > max((f["at"] for f in best), default=0):
+            best = found
+    return pd.DataFrame({"source": [lengths["source"].iloc[0]], "of": [best or None]})
 
 
 def limits_of(lengths: DataFrame) -> DataFrame:
-    """(source, of) with the limit of every source that has one: measure, limit, censoring posterior and fit."""
-    long = lengths.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("measure"), F.col("chars").alias("x")), F.struct(F.lit("bytes").alias("measure"), F.col("bytes").alias("x")))).alias("m")).select("source", "m.*")
-    top = long.groupBy("source", "measure").agg(F.max("x").alias("top"))
-    joined = long.groupBy("source", "measure", "x").count().join(top, ["source", "measure"])
-    near = F.col("x") > F.col("top") - NEAR
-    y = F.log(F.greatest(F.col("x"), F.lit(1)).cast("double"))
-    w = F.col("count")
-    stats = joined.groupBy("source", "measure", "top").agg(
-        F.sum(F.when(near, w).otherwise(0)).alias("at"), F.sum(F.when(~near, w).otherwise(0)).alias("n"),
-        F.coalesce(F.sum(F.when(~near, w * y)), F.lit(0.0)).alias("s1"), F.coalesce(F.sum(F.when(~near, w * y * y)), F.lit(0.0)).alias("s2"),
-    )
-    return stats.groupBy("source").applyInPandas(_limit, _LIMIT).where("of is not null")
+    """(source, of) with the limits of every source that has any: measure, limit, censoring posterior, values there.
+
+    Repeated texts (equal ``h``) count once. A source's lengths are one row each, so what a task holds grows with the longest text and not with the rows.
+    """
+    long = lengths.select("source", "h", F.explode(F.array(F.struct(F.lit("chars").alias("measure"), F.col("chars").alias("x")), F.struct(F.lit("bytes").alias("measure"), F.col("bytes").alias("x")))).alias("m")).select("source", "h", "m.*")
+    counted = long.groupBy("source", "measure", "x").agg(F.count_distinct("h").alias("n"))
+    return counted.groupBy("source").applyInPandas(_limit, _LIMIT).where("of is not null")
 
 
 def truncated(spark: SparkSession, docs: DataFrame, least: float = 0.5, **columns) -> DataFrame:
