@@ -216,6 +216,16 @@ def same_place(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
     return _grade(a, b)
 
 
+#: What contradicts between places without a town.
+_SAID = ("state", "postal", "kind")
+
+
+def _torn(members: DataFrame, by: str) -> DataFrame:
+    """(by) of the groups of which two members contradict each other."""
+    sets = members.groupBy(by).agg(*[F.size(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in _SAID])
+    return sets.where(" or ".join(f"{c} > 1" for c in _SAID)).select(by)
+
+
 def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column: str, parts: tuple[str, ...] = ()) -> DataFrame:
     """(id, label, and of the reading the ``parts`` asked for) for every id whose address denotes a place; equal labels denote the same premises.
 
@@ -247,8 +257,16 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column:
     to_firm = scratch.cut(both.where("not xa.has and xb.has").groupBy(F.col("xa.label").alias("loose")).agg(F.min("xb.label").alias("a"), F.max("xb.label").alias("b")))
     loose = both.where("not xa.has and not xb.has").select(F.col("xa.label").alias("a"), F.col("xb.label").alias("b"))
     loose = loose.join(to_firm.select(F.col("loose").alias("a")), "a", "left_anti").join(to_firm.select(F.col("loose").alias("b")), "b", "left_anti")
-    # among places without a town only an only neighbour is taken
-    single = loose.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("c")).where("b = c").select("a", "b")
+    loose = scratch.cut(loose.distinct())
+    # places without a town are linked as far as nothing in what they link contradicts: other state, postal code or kind
+    said = nodes.join(firm.select("node", "label"), "node").groupBy("label").agg(*[F.collect_set(F.when(F.col(c) != "", F.col(c))).alias(c) for c in _SAID])
+    group = labels_of(spark, loose, scratch).toDF("a", "comp")
+    torn = _torn(group.join(said, F.col("a") == F.col("label")), "comp")
+    inside = loose.join(group, "a").join(torn.withColumnRenamed("comp", "torn"), F.col("comp") == F.col("torn"), "left")
+    # in a group with a contradiction, both ends of a link must have neighbours that agree with them and each other
+    around = inside.where("torn is not null").select("a", "b").unionByName(inside.where("torn is not null").select("a", F.col("a").alias("b"))).distinct()
+    unclear = _torn(around.join(said, F.col("b") == F.col("label")), "a").withColumnRenamed("a", "u")
+    single = inside.select("a", "b").join(unclear, F.col("a") == F.col("u"), "left_anti").join(unclear, F.col("b") == F.col("u"), "left_anti")
     # only places that incomplete ones touch can still grow
     links = to_firm.where("a = b").select(F.col("loose").alias("a"), "b").unionByName(single)
     grown = labels_of(spark, links, scratch)
