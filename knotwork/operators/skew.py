@@ -2,33 +2,74 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: At most so many keys are treated as hot. A key outside the most frequent HOT_KEYS has at most
-#: 1 / HOT_KEYS of the rows, so no shuffle partition of the remaining join holds more than a small share.
-HOT_KEYS = 256
+#: A key of more than 1 / HOT_SHARE of the rows is hot, so there are at most so many, and no shuffle partition of the
+#: remaining join gets more than such a share from one key.
+HOT_SHARE = 512
+#: Counters of the sketch that finds hot keys; with so many no key of that share is missed.
+TRACKED = 8 * HOT_SHARE
 
 
-def lookup_join(big: DataFrame, key: str, small: DataFrame, small_key: str, value: str, out: str, keep: bool = False) -> DataFrame:
-    """Add ``out``: the ``value`` that ``small`` has for ``big[key]``; ``small_key`` is unique in ``small``.
+class Lookup(NamedTuple):
+    """One column to add: ``out`` becomes the ``value`` that ``small`` has where its unique ``small_key`` equals ``key``.
+
+    Without ``keep`` rows that find nothing are dropped, with it ``out`` is null there.
+    """
+
+    key: str
+    small: DataFrame
+    small_key: str
+    value: str
+    out: str
+    keep: bool = False
+
 
-    The HOT_KEYS most frequent keys find their value in a broadcast table of at most HOT_KEYS rows. One shuffle join
-    serves the rest; the rows already served pass through it under a second join column that spreads them evenly and
-    meets nothing. Without ``keep`` rows that find nothing are dropped, with it ``out`` is null there. A null key
-    finds nothing. Ties among frequent keys are settled by the key itself.
+def hot_keys(df: DataFrame, *keys: str) -> tuple[int, dict[str, list]]:
+    """(rows, hot values by column) of ``df``, found in one pass by a sketch of fixed size; at most HOT_SHARE values a column."""
+    distinct = list(dict.fromkeys(keys))
+    sketches = [F.expr(f"approx_top_k(`{k}`, {HOT_SHARE}, {TRACKED}) filter (where `{k}` is not null)").alias(f"h{i}") for i, k in enumerate(distinct)]
+    row = df.select(*distinct).agg(F.count(F.lit(1)).alias("n"), *sketches).first()
+    return row["n"], {k: [x["item"] for x in row[f"h{i}"] or () if x["count"] * HOT_SHARE > row["n"]] for i, k in enumerate(distinct)}
+
+
+def lookups(big: DataFrame, *wanted: Lookup, hot: dict[str, list] | None = None) -> DataFrame:
+    """``big`` with the columns of all ``wanted`` lookups, each by a column that ``big`` has from the start.
+
+    Hot keys of all lookups are found in one pass over the key columns (or given as ``hot``); they find their values in
+    broadcast tables of at most HOT_SHARE rows. A shuffle join for each lookup serves the rest; rows already served, and
+    those with a null key, which finds nothing, pass through it under a second join column that spreads them evenly and
+    meets nothing. ``big`` itself is read once.
     """
-    hot = (
-        big.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hk")).count()
-        .orderBy(F.desc("count"), "_hk").limit(HOT_KEYS).select("_hk")
-    )
-    hot = hot.join(small.select(F.col(small_key).alias("_sk"), F.col(value).alias("_hv")), F.col("_hk") == F.col("_sk"), "left").select("_hk", "_hv")
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(1 << 30)) + 1
-    x = big.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-    x = x.withColumn("_salt", F.when(F.col("_hk").isNull() & F.col(key).isNotNull(), F.lit(0).cast("long")).otherwise(spread))
-    values = small.select(F.col(small_key).alias("_lk"), F.lit(0).cast("long").alias("_ls"), F.col(value).alias("_lv"))
-    # hashed by both columns, a null key is spread by its salt
-    x = x.join(values, (F.col(key) == F.col("_lk")) & (F.col("_salt") == F.col("_ls")), "left")
-    x = x.withColumn(out, F.coalesce("_hv", "_lv"))
-    x = x.drop("_hk", "_hv", "_salt", "_lk", "_ls", "_lv")
-    return x if keep else x.where(F.col(f"`{out}`").isNotNull())
+    if hot is None:
+        hot = hot_keys(big, *[w.key for w in wanted])[1]
+    x = big
+    # the partition spreads equal rows, and is the same when a lost task runs again
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in big.columns]), F.lit(1 << 30)) + 1
+    x = x.withColumn("_spread", spread)
+    for w in wanted:
+        key = F.col(w.key)
+        served = F.lit(False)
+        if hot[w.key]:
+            schema = T.StructType([T.StructField("_hk", big.schema[w.key].dataType)])
+            found = big.sparkSession.createDataFrame([(v,) for v in hot[w.key]], schema)
+            values = w.small.select(F.col(w.small_key).alias("_sk"), F.col(w.value).alias("_hv"))
+            found = F.broadcast(found).join(values, F.col("_hk") == F.col("_sk")).select("_hk", "_hv")
+            x = x.join(F.broadcast(found), key == F.col("_hk"), "left")
+            served = F.col("_hk").isNotNull()
+        x = x.withColumn("_salt", F.when(~served & key.isNotNull(), F.lit(0).cast("long")).otherwise(F.col("_spread")))
+        values = w.small.select(F.col(w.small_key).alias("_lk"), F.lit(0).cast("long").alias("_ls"), F.col(w.value).alias("_lv"))
+        x = x.join(values, (key == F.col("_lk")) & (F.col("_salt") == F.col("_ls")), "left")
+        x = x.withColumn(w.out, F.coalesce("_hv", "_lv") if hot[w.key] else F.col("_lv")).drop("_hk", "_hv", "_salt", "_lk", "_ls", "_lv")
+        if not w.keep:
+            x = x.where(F.col(f"`{w.out}`").isNotNull())
+    return x.drop("_spread")
+
+
+def lookup_join(big: DataFrame, key: str, small: DataFrame, small_key: str, value: str, out: str, keep: bool = False) -> DataFrame:
+    """``lookups`` of one column."""
+    return lookups(big, Lookup(key, small, small_key, value, out, keep))

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from knotwork.operators.skew import lookup_join
+from knotwork.operators.skew import Lookup, hot_keys, lookup_join, lookups
 
 
 def test_hot_null_and_missing_keys(spark):
@@ -23,3 +23,23 @@ def test_repeated_rows_stay(spark):
     big = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2, "k string")
     small = spark.createDataFrame([("a", 1), ("b", 2)], "k2 string, v int")
     assert sorted(x.out for x in lookup_join(big, "k", small, "k2", "v", "out").collect()) == [1] * 5 + [2] * 2
+
+
+def test_four_lookups_read_their_base_once(spark, tmp_path):
+    r = random.Random(1)
+    rows = [(i, *[r.choice(["hot", None, "gone", f"k{i % 40}"]) for _ in range(4)]) for i in range(2000)]
+    spark.createDataFrame(rows, "id int, a string, b string, c string, d string").write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    small = spark.createDataFrame([("hot", "H"), *[(f"k{i}", f"v{i}") for i in range(40)]], "key string, v string")
+    known = {"hot": "H", **{f"k{i}": f"v{i}" for i in range(40)}}
+    assert set(hot_keys(base, "a")[1]["a"]) >= {"hot", "gone"}
+    out = lookups(base, *[Lookup(k, small, "key", "v", f"{k}_out", keep=True) for k in "abcd"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+    got = {x.id: (x.a_out, x.b_out, x.c_out, x.d_out) for x in out.collect()}
+    assert got == {i: tuple(known.get(k) for k in ks) for i, *ks in rows}
+
+
+def test_copies_of_a_hot_row_are_spread(spark):
+    big = spark.range(4000).select(F.lit("hot").alias("k")).repartition(8)
+    assert lookup_join(big, "k", spark.createDataFrame([("hot", 1)], "s string, v int"), "s", "v", "out").where("out = 1").count() == 4000
