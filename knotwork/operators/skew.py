@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 HOT_SHARE = 512
 #: Counters of the sketch that finds hot keys; with so many no key of that share is missed.
 TRACKED = 8 * HOT_SHARE
+#: So few rows are no load for a task, whatever their share, so a key of no more isn't hot.
+HOT_ROWS = 5_000
 
 
 class Lookup(NamedTuple):
@@ -34,7 +36,7 @@ def hot_keys(df: DataFrame, *keys: str) -> tuple[int, dict[str, list]]:
     distinct = list(dict.fromkeys(keys))
     sketches = [F.expr(f"approx_top_k(`{k}`, {HOT_SHARE}, {TRACKED}) filter (where `{k}` is not null)").alias(f"h{i}") for i, k in enumerate(distinct)]
     row = df.select(*distinct).agg(F.count(F.lit(1)).alias("n"), *sketches).first()
-    return row["n"], {k: [x["item"] for x in row[f"h{i}"] or () if x["count"] * HOT_SHARE > row["n"]] for i, k in enumerate(distinct)}
+    return row["n"], {k: [x["item"] for x in row[f"h{i}"] or () if x["count"] > max(HOT_ROWS, row["n"] // HOT_SHARE)] for i, k in enumerate(distinct)}
 
 
 def lookups(big: DataFrame, *wanted: Lookup, hot: dict[str, list] | None = None) -> DataFrame:

@@ -1,10 +1,17 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from knotwork.operators import skew
 from knotwork.operators.skew import Lookup, hot_keys, lookup_join, lookups
 
 
+@pytest.fixture(autouse=True)
+def small_loads(monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+
+
 def test_hot_null_and_missing_keys(spark):
     r = random.Random(0)
     rows = [(i, "hot" if i % 3 else r.choice([None, "gone", f"k{i % 50}"])) for i in range(3000)]
