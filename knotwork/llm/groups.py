@@ -5,9 +5,12 @@ round, each round written to the shared folder, until no label changes.
 
 A round works on the graph of current labels: every label takes the smallest label in its neighbourhood (a
 combining aggregation, so a hub of any degree costs one value per task), pointers jump to their pointer's pointer,
-and the edges are rewritten to the new labels, where those inside one group vanish. The edges left shrink by at
-least half a round in practice, so later rounds are cheap. Afterwards the rounds' tables are composed from the last
-to the first. Lookups go through ``lookup_join``, which keeps hubs out of the shuffle.
+and the edges are rewritten to the new labels, where those inside one group vanish. *Smallest* is meant in the order of
+a hash that is fresh in every round: in the ids' own order a sorted chain would lose two labels a round, in a random
+order any graph loses a constant share of its labels (on average more than a third, in chains more than half), so the rounds grow with the logarithm of
+the labels and the work of all rounds is a small multiple of the first one's. Afterwards the rounds' tables are composed from
+the last to the first, and every group takes its smallest id. Lookups go through ``lookups``, which keeps hubs out of
+the shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.operators.skew import lookup_join
+from knotwork.operators.skew import Lookup, hot_keys, lookup_join, lookups
 from knotwork.session import Scratch
 
 
@@ -28,46 +31,46 @@ def _ordered(e: DataFrame) -> DataFrame:
     )
 
 
-#: So many edges fit one task, so lookups over no more of them need no care for hot keys. Results don't depend on it.
-FEW = 500_000
+def _both_ways(e: DataFrame) -> DataFrame:
+    return e.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
 
 
-def _lookup(few: bool, big: DataFrame, key: str, small: DataFrame, small_key: str, value: str, out: str, keep: bool = False) -> DataFrame:
-    if not few:
-        return lookup_join(big, key, small, small_key, value, out, keep)
-    values = small.select(F.col(small_key).alias("_lk"), F.col(value).alias(out))
-    return big.join(values, F.col(key) == F.col("_lk"), "left" if keep else "inner").drop("_lk")
-
-
-def labels_of(spark: SparkSession, edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
+def labels_of(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, label) for every id in ``edges(a, b)``: the smallest id of its component. Null ends are ignored."""
     now = scratch.cut(_ordered(edges.select("a", "b").where("a is not null and b is not null")))
-    rounds: list[tuple[DataFrame, bool]] = []
-    while n := now.count():
-        if len(rounds) >= max_rounds:
-            raise RuntimeError(f"labels still change after {max_rounds} rounds")
-        few = n <= FEW
-        both = now.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
-        parent = both.groupBy(F.col("e.a").alias("id")).agg(F.least(F.col("e.a"), F.min("e.b")).alias("p")).select("id", "p")
-        jumped = scratch.cut(_lookup(few, parent, "p", parent, "id", "p", "label").select("id", "label"))
+    rounds: list[DataFrame] = []
+    while True:
+        # one pass: are there edges left, and which labels are hubs
+        n, hot = hot_keys(_both_ways(now), "a")
+        if not n:
+            break
+        hubs = hot["a"]
+        rank = lambda c: F.struct(F.xxhash64(F.lit(len(rounds)), c).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
+        parent = _both_ways(now).groupBy(F.col("a").alias("id")).agg(F.min(rank("b")).alias("m"))
+        parent = parent.select("id", F.least(rank("id"), "m")["id"].alias("p"))
         # every id is an end of an edge, so each lookup finds its row
-        moved = _lookup(few, _lookup(few, now, "a", jumped, "id", "label", "la"), "b", jumped, "id", "label", "lb")
+        jumped = scratch.cut(lookups(parent, Lookup("p", parent, "id", "p", "label"), hot={"p": hubs}).select("id", "label"))
+        moved = lookups(now, Lookup("a", jumped, "id", "label", "la"), Lookup("b", jumped, "id", "label", "lb"), hot={"a": hubs, "b": hubs})
         after = scratch.cut(_ordered(moved.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
         scratch.drop(now)
-        rounds.append((jumped, few))
+        rounds.append(jumped)
         now = after
     scratch.drop(now)
     if not rounds:
         kind = edges.schema["a"].dataType.simpleString()
         return spark.createDataFrame([], f"id {kind}, label {kind}")
-    final = rounds[-1][0]
-    for earlier, few in reversed(rounds[:-1]):
+    final = rounds.pop()
+    while rounds:
         # a label that is no end of a later edge has reached its group's label
-        composed = _lookup(few, earlier, "label", final.withColumnRenamed("label", "top"), "id", "top", "top", keep=True)
+        earlier = rounds.pop()
+        composed = lookup_join(earlier, "label", final.withColumnRenamed("label", "top"), "id", "top", "top", keep=True)
         composed = scratch.cut(composed.select("id", F.coalesce("top", "label").alias("label")))
         scratch.drop(earlier, final)
         final = composed
-    return final
+    least = final.groupBy("label").agg(F.least(F.min("id"), F.col("label")).alias("least"))
+    named = scratch.cut(lookup_join(final, "label", least.withColumnRenamed("label", "of"), "of", "least", "least").select("id", F.col("least").alias("label")))
+    scratch.drop(final)
+    return named
 
 
 def consolidate(spark: SparkSession, pairs: DataFrame, left: str, right: str, record: str = "record_id", group: str = "group_id") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from knotwork.llm.groups import labels_of
 from knotwork.operators.packed import unpack
-from knotwork.operators.skew import lookup_join
+from knotwork.operators.skew import Lookup, hot_keys, lookup_join, lookups
 from knotwork.session import Scratch
 
 #: Spellings of a country, upper case without marks.
@@ -34,21 +34,25 @@ def canonical_country(c) -> F.Column:
     return out.otherwise(plain)
 
 
-def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, max_levels: int = 200) -> DataFrame:
-    """(id, component) for every id in ``edges(a, b)``, by concurrent breadth-first search from many seeds."""
+def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, component) for every id in ``edges(a, b)``, by concurrent breadth-first search from many seeds.
+
+    From every id a path of falling hashes leads to a seed, so the levels are as many as the longest such path at most,
+    which grows with the logarithm of the ids. Adjacency lists are hash-partitioned by both ends, so that a hub's list
+    lies in many partitions.
+    """
     adjacent = scratch.cut(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
         .select("e.a", "e.b").distinct().repartition("a", "b")
     )
+    hubs = hot_keys(adjacent, "a")[1]["a"]
     h = lambda c: F.struct(F.xxhash64(c), F.col(c))
     seeds = adjacent.groupBy("a").agg(F.min(h("b")).alias("m")).where(h("a") < F.col("m"))
     levels = [scratch.cut(seeds.select(F.col("a").alias("id"), F.col("a").alias("seed")))]
     meetings: list[DataFrame] = []
     while not levels[-1].isEmpty():
-        if len(levels) > max_levels:
-            raise RuntimeError(f"the search goes deeper than {max_levels} levels")
-        steps = scratch.cut(lookup_join(adjacent, "a", levels[-1], "id", "seed", "seed").select(F.col("b").alias("id"), "seed").distinct())
+        steps = scratch.cut(lookups(adjacent, Lookup("a", levels[-1], "id", "seed", "seed"), hot={"a": hubs}).select(F.col("b").alias("id"), "seed").distinct())
         # a neighbour of the frontier is new, in the frontier, or one level before it
         near = levels[-1] if len(levels) == 1 else levels[-1].unionByName(levels[-2])
         touched = scratch.cut(
@@ -93,7 +97,8 @@ def grouped(spark: SparkSession, records: DataFrame, matches: DataFrame, scratch
     """``records`` (entity_id, country, fold_id) with ids and countries in their usual form and their ``component``."""
     rel = relations(spark, matches, "source1_entity_id", "matched_entity_ids", scratch)
     rows = records.select(entity_id(F.col("entity_id")).alias("entity_id"), canonical_country(F.col("country")).alias("country"), F.col("fold_id")).where("entity_id is not null")
-    return rows.join(rel, rows["entity_id"] == rel["id"], "left").select("entity_id", "country", "fold_id", F.coalesce("component", F.concat(F.lit("e:"), "entity_id")).alias("component"))
+    rows = lookup_join(rows, "entity_id", rel, "id", "component", "found", keep=True)
+    return rows.select("entity_id", "country", "fold_id", F.coalesce("found", F.concat(F.lit("e:"), "entity_id")).alias("component"))
 
 
 def broken_by_folds(spark: SparkSession, records: DataFrame, matches: DataFrame) -> DataFrame:
@@ -102,9 +107,10 @@ def broken_by_folds(spark: SparkSession, records: DataFrame, matches: DataFrame)
     Null folds don't count. Rows without an id are left out; an entity without matches is its own group, so only
     its repeated rows can break it.
     """
-    rows = grouped(spark, records, matches, Scratch(spark))
+    scratch = Scratch(spark)
+    rows = scratch.cut(grouped(spark, records, matches, scratch))
     bad = rows.groupBy("component").agg(F.min("fold_id").alias("lo"), F.max("fold_id").alias("hi")).where("lo < hi")
-    return rows.join(bad, "component", "left_semi").select("entity_id").distinct()
+    return lookup_join(rows, "component", bad, "component", "lo", "broken").select("entity_id").distinct()
 
 
 def split(spark: SparkSession, records: DataFrame, matches: DataFrame, parts: dict[str, float], seed: int = 0) -> DataFrame:
@@ -118,7 +124,8 @@ def split(spark: SparkSession, records: DataFrame, matches: DataFrame, parts: di
     total = sum(parts.values())
     if not parts or total <= 0 or min(parts.values()) < 0:
         raise ValueError("proportions must be positive")
-    rows = grouped(spark, records, matches, Scratch(spark))
+    scratch = Scratch(spark)
+    rows = scratch.cut(grouped(spark, records, matches, scratch))
     one = rows.groupBy("entity_id", "component").agg(F.min(F.when(F.col("country") != "unknown", F.col("country"))).alias("c"))
     size = one.groupBy("component").agg(F.count("*").alias("n"), F.coalesce(F.min("c"), F.lit("unknown")).alias("country"))
     size = size.withColumn("h", F.xxhash64(F.lit(seed), "component")).withColumn("range", F.shiftrightunsigned("h", 52))
@@ -134,5 +141,5 @@ def split(spark: SparkSession, records: DataFrame, matches: DataFrame, parts: di
         steps.append((edge, name))
     for edge, name in reversed(steps):
         part = F.when(F.col("middle") < edge, F.lit(name)).otherwise(part)
-    placed = placed.select("component", "country", part.alias("part"))
-    return one.select("entity_id", "component").join(placed, "component").select("entity_id", "component", "country", "part")
+    placed = placed.select("component", F.struct("country", part.alias("part")).alias("p"))
+    return lookup_join(one.select("entity_id", "component"), "component", placed, "component", "p", "placed").select("entity_id", "component", "placed.country", "placed.part")

@@ -1,13 +1,22 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from knotwork.llm import groups
 from knotwork.llm.groups import consolidate
 from knotwork.llm.splits import broken_by_folds, components, split
 from knotwork.llm.top_n import top_n
+from knotwork.operators import skew
+from knotwork.operators.skew import hot_keys
 from knotwork.session import Scratch
 
 
+@pytest.fixture(autouse=True)
+def small_loads(monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+
+
 def roots(edges, nodes):
     p = {n: n for n in nodes}
 
@@ -26,7 +35,7 @@ def roots(edges, nodes):
 
 def graphs():
     r = random.Random(5)
-    yield "chain", [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(60)]
+    yield "chain", [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(200)]
     yield "star", [("hub", f"n{i:03d}") for i in range(300)] + [("n000", "tail")]
     yield "random", [(f"n{r.randint(0, 150)}", f"n{r.randint(0, 150)}") for _ in range(110)]
     yield "self and repeats", [("a", "a"), ("b", "c"), ("c", "b"), ("b", "c"), ("d", "d")]
@@ -41,6 +50,28 @@ def test_groups_against_union_find(spark, name, edges):
     assert len(got) == len(expected) and {r.record_id: r.group_id for r in got} == expected
 
 
+@pytest.mark.parametrize("shape", ["sorted", "reversed", "shuffled", "star", "grid"])
+def test_rounds_grow_with_the_logarithm(spark, monkeypatch, shape):
+    n, side = 100_000, 316
+    i, pad = F.col("id"), lambda c: F.lpad(c.cast("string"), 9, "0")
+    ids = spark.range(n)
+    edges = {
+        "sorted": lambda: ids.select(pad(i).alias("a"), pad(i + 1).alias("b")),
+        "reversed": lambda: ids.select(pad(n - i).alias("a"), pad(n - i - 1).alias("b")),
+        "shuffled": lambda: ids.select(F.hex(F.xxhash64(i)).alias("a"), F.hex(F.xxhash64(i + 1)).alias("b")),
+        "star": lambda: ids.select(F.lit("hub").alias("a"), pad(i).alias("b")),
+        "grid": lambda: ids.select(pad(i).alias("a"), F.explode(F.array(pad(i + 1), pad(i + side))).alias("b")),
+    }[shape]()
+    passes = []
+    monkeypatch.setattr(groups, "hot_keys", lambda *a: passes.append(1) or hot_keys(*a))
+    labels = groups.labels_of(spark, edges, Scratch(spark))
+    least = edges.select(F.least(F.min("a"), F.min("b"))).first()[0]
+    found = labels.agg(F.count("*"), F.count_distinct("id"), F.min("label"), F.max("label")).first()
+    assert found[0] == found[1] == edges.select(F.explode(F.array("a", "b"))).distinct().count()
+    assert found[2] == found[3] == least
+    assert len(passes) - 1 <= 30
+
+
 def test_no_rows(spark):
     assert consolidate(spark, spark.createDataFrame([], "l string, r string"), "l", "r").count() == 0
 
