@@ -16,6 +16,9 @@ TRACKED = 8 * HOT_SHARE
 #: So few rows are no load for a task, whatever their share, so a key of no more isn't hot.
 HOT_ROWS = 5_000
 
+#: Values of one key that stand in one list of ``many_join``.
+LIST = 1_000
+
 
 class Lookup(NamedTuple):
     """One column to add: ``out`` becomes the ``value`` that ``small`` has where its unique ``small_key`` equals ``key``.
@@ -75,3 +78,21 @@ def lookups(big: DataFrame, *wanted: Lookup, hot: dict[str, list] | None = None)
 def lookup_join(big: DataFrame, key: str, small: DataFrame, small_key: str, value: str, out: str, keep: bool = False) -> DataFrame:
     """``lookups`` of one column."""
     return lookups(big, Lookup(key, small, small_key, value, out, keep))
+
+
+def many_join(big: DataFrame, key: str, many: DataFrame, many_key: str, value: str, out: str) -> DataFrame:
+    """Inner join of two tables of which both may have a key many times; adds ``out``, the ``value`` of ``many``.
+
+    A key's values lie in lists of about LIST values (by a hash of the value), a row of ``big`` goes once to each list
+    of its key, and lists are found by ``lookups``, so neither side's hot key meets in one task. Null values are passed over.
+    """
+    values = many.where(F.col(many_key).isNotNull() & F.col(value).isNotNull()).select(F.col(many_key).alias("_mk"), F.col(value).alias("_mv")).distinct()
+    lists = values.groupBy("_mk").agg(F.ceil(F.count("*") / LIST).alias("_n"))
+    listed = lookup_join(values, "_mk", lists.withColumnRenamed("_mk", "_ck"), "_ck", "_n", "_n")
+    chunk = F.concat_ws("\x03", F.pmod(F.xxhash64("_mv"), F.col("_n")), "_mk")
+    listed = listed.groupBy(chunk.alias("_lk2")).agg(F.collect_list("_mv").alias("_list"))
+    x = lookup_join(big, key, lists, "_mk", "_n", "_n")
+    x = x.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    x = x.withColumn("_ck2", F.concat_ws("\x03", "_i", key))
+    x = lookup_join(x, "_ck2", listed, "_lk2", "_list", "_list")
+    return x.withColumn(out, F.explode("_list")).drop("_n", "_i", "_ck2", "_list")

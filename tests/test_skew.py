@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from knotwork.operators import skew
-from knotwork.operators.skew import Lookup, hot_keys, lookup_join, lookups
+from knotwork.operators.skew import Lookup, hot_keys, lookup_join, lookups, many_join
 
 
 @pytest.fixture(autouse=True)
@@ -50,3 +50,13 @@ def test_four_lookups_read_their_base_once(spark, tmp_path):
 def test_copies_of_a_hot_row_are_spread(spark):
     big = spark.range(4000).select(F.lit("hot").alias("k")).repartition(8)
     assert lookup_join(big, "k", spark.createDataFrame([("hot", 1)], "s string, v int"), "s", "v", "out").where("out = 1").count() == 4000
+
+
+def test_many_to_many(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LIST", 7)
+    r = random.Random(3)
+    key = lambda: r.choice(["hot", None, *[f"k{i}" for i in range(9)]])
+    left, right = [(i, key()) for i in range(200)], [(key(), f"v{i}") for i in range(150)] + [("hot", None)]
+    got = many_join(spark.createDataFrame(left, "id int, k string"), "k", spark.createDataFrame(right, "key string, v string"), "key", "v", "out").collect()
+    expected = {(i, v) for i, k in left for m, v in right if k is not None and k == m and v}
+    assert len(got) == len(expected) and {(x.id, x.out) for x in got} == expected
