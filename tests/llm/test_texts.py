@@ -30,11 +30,71 @@ def test_leaks(spark):
     assert leaks.leaked(spark, docs(spark, rows), items.limit(0)).count() == 0 and leaks.leaked(spark, docs(spark, []), items).count() == 0
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
-    items = spark.createDataFrame([(1, ITEM), (2, OTHER)], "item_id long, text string")
-    d = docs(spark, [(1, ITEM), (2, OTHER)])
-    monkeypatch.setattr(leaks, "BLOCK", 1)
-    assert {tuple(r) for r in leaks.leaked(spark, d, items).collect()} == {(1, 1), (2, 2)}
+def exercise(r):
+    """One of a family of items that share their frame and differ in names and figures."""
+    name = lambda: "".join(r.choice(["ka", "ro", "mi", "tel", "van", "dus", "pel", "gor"]) for _ in range(4)).title()
+    return f"Assume that {name()} holds {r.randint(2, 9999)} pairs and that no record weighs over {r.randint(2, 99)} grams. Given the {name()} matrix with {r.randint(2, 999)} rows, find the barrel whose {name()} is hidden. Explain why {name()} must exceed {r.randint(2, 9999)}."
+
+
+@pytest.mark.parametrize("siblings", [3, 4, 12])
+def test_near_identical_items_are_all_found(spark, siblings):
+    """Items of equal words but for the last one are named by what they share."""
+    texts = [ITEM.replace("3808", str(3000 + i)) for i in range(siblings)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    got = {tuple(r) for r in leaks.leaked(spark, docs(spark, [(1, f"See here. {texts[0]} And so on."), (2, " ".join(ITEM.split()[:20]))]), items).collect()}
+    assert {(i, 1) for i in range(siblings)} | {(i, 2) for i in range(siblings)} == got
+
+
+def test_blocks_and_partitions_change_nothing(spark, monkeypatch):
+    r = random.Random(8)
+    texts = [exercise(r) for _ in range(60)] + [ITEM, OTHER]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(i, f"{r.choice(texts)} Some words between. {' '.join(r.choice(texts).split()[:20])}") for i in range(40)]
+    expected = sorted(tuple(x) for x in leaks.spans(spark, docs(spark, rows), items).collect())
+    assert len(expected) >= 80
+    for size, parts in ((400, 1), (2000, 7)):
+        monkeypatch.setattr(leaks, "BLOCK_BYTES", size)
+        assert sorted(tuple(x) for x in leaks.spans(spark, docs(spark, rows).repartition(parts), items.repartition(parts)).collect()) == expected
+
+
+def test_more_than_twenty_thousand_items(spark):
+    r = random.Random(6)
+    texts = [exercise(r) for _ in range(20_500)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    asked = r.sample(range(len(texts)), 60)
+    got = {tuple(x) for x in leaks.leaked(spark, docs(spark, [(i, f"Intro. {texts[i]} Outro.") for i in asked]), items).collect()}
+    assert got == {(i, i) for i in asked}
+
+
+def test_every_copy_is_a_span(spark):
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    d = docs(spark, [(1, f"{ITEM} {ITEM}"), (2, f"a {ITEM} " + "filler " * 500 + ITEM), (3, f"{ITEM} " * 200)])
+    found = {}
+    for x in leaks.spans(spark, d, items).collect():
+        found.setdefault(x.doc_id, []).append((x.first_word, x.end_word))
+    n = len(leaks.words(ITEM))
+    assert sorted(found["1"]) == [(0, n), (n, 2 * n)] and len(found["2"]) == 2 and sorted(found["3"]) == [(k * n, (k + 1) * n) for k in range(200)]
+    left = {x.doc_id: x.text for x in leaks.without_leaks(spark, d, items).collect()}
+    assert not any("Poditel" in t for t in left.values())
+
+
+def test_recall_on_planted_parts(spark):
+    """Thirds and more of items, with a word in nine changed, put between other text."""
+    r = random.Random(11)
+    texts = [exercise(r) for _ in range(300)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows, planted = [], set()
+    for d in range(300):
+        i = r.randrange(len(texts))
+        w = texts[i].split()
+        n = r.randint(-(-len(w) * 45 // 100), len(w))
+        at = r.randint(0, len(w) - n)
+        part = ["other" if k % 9 == 4 else x for k, x in enumerate(w[at : at + n])]
+        rows.append((d, " ".join(["word"] * 30 + part + ["more"] * 30)))
+        planted.add((i, d))
+    rows += [(d, exercise(r)) for d in range(300, 600)]
+    got = {tuple(x) for x in leaks.leaked(spark, docs(spark, rows), items).collect()}
+    assert len(got & planted) >= 0.97 * len(planted) and len(got - planted) <= 0.03 * len(planted)
 
 
 def test_removal(spark):
