@@ -20,6 +20,7 @@ from knotwork.functions.memo import Memo
 from knotwork.functions.similarity import jaro_winkler, osa
 from knotwork.llm.groups import labels_of
 from knotwork.llm.names import _near, _near_table, code, plain
+from knotwork.operators.skew import lookup_join
 from knotwork.session import Scratch
 
 # States and regions with their codes.
@@ -43,6 +44,22 @@ KINDS = {
     "rue": "rue r", "way": "way wy", "highway": "highway hwy", "square": "square sq", "circle": "circle cir", "terrace": "terrace ter", "parkway": "parkway pkwy",
 }
 
+# Further kinds of street and of settlement, which serve where the ones above find none.
+MORE_KINDS = {
+    "trail": "trail trl", "hollow": "hollow holw", "ridge": "ridge rdg", "run": "run", "pike": "pike", "turnpike": "turnpike tpke", "loop": "loop",
+    "crossing": "crossing xing", "point": "point", "cove": "cove cv", "alley": "alley aly", "bend": "bend bnd", "crescent": "crescent cres", "close": "close",
+    "mews": "mews", "parade": "parade pde", "row": "row", "walk": "walk", "path": "path", "pass": "pass", "plaza": "plaza plz", "park": "park", "grove": "grove grv",
+    "creek": "creek crk", "acres": "acres", "gardens": "gardens gdns garden", "heights": "heights hts", "hill": "hill hl", "view": "view vw", "freeway": "freeway fwy",
+    "expressway": "expressway expy", "route": "route rte", "county road": "cr", "broadway": "broadway", "quay": "quay quai", "allee": "allee all", "impasse": "impasse imp",
+    "chemin": "chemin che", "cours": "cours", "route de": "rte|de", "faubourg": "faubourg fbg", "sentier": "sentier", "nagar": "nagar ngr", "colony": "colony col",
+    "layout": "layout lyt", "enclave": "enclave encl", "vihar": "vihar", "society": "society soc socy", "extension": "extension extn", "main": "main", "cross": "cross",
+    "block": "block blk", "sector": "sector sec", "phase": "phase ph", "village": "village vill", "estate": "estate", "market": "market mkt", "bazar": "bazar bazaar", "chowk": "chowk",
+    "gali": "gali galli", "puram": "puram", "bagh": "bagh", "complex": "complex", "tower": "tower twr", "plot": "plot",
+}
+
+# Ordinals in words.
+ORDINALS = {w: f"{i}{e}" for i, (w, e) in enumerate(zip("first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth".split(), ["st", "nd", "rd", *["th"] * 9]), 1)}
+
 # Fillers that stand for no address.
 FILLERS = frozenset(["", "nan", "none", "null", "n/a", "na", "-", "unknown"])
 
@@ -52,6 +69,7 @@ for _s in STATES.values():
     for _n in _s.split(", "):
         _STATE_CODES.setdefault(_n.rsplit(" ", 1)[1], []).append(_n.rsplit(" ", 1)[0])
 _STATE_NEAR = _near_table({n: n for n in _STATE_NAMES})
+_MORE_OF = {a.replace("|", " "): k for k, v in {**KINDS, **MORE_KINDS}.items() for a in v.split()}
 _KIND_OF = {a.replace("|", " "): k for k, v in KINDS.items() for a in v.split()}
 _BEFORE = ("avenue", "boulevard", "place", "rue", "square")  # kinds that may stand in front of the name
 
@@ -67,12 +85,21 @@ _COUNTRY = re.compile(r"(?:^|(?<=[|\s]))(?:france|india|bharat|u\.?s\.?a\.?|unit
 _CUT = re.compile(r"\s*(?:[,;\n]|\s[-–|]\s)\s*")
 _KIND = "|".join(sorted((re.escape(a).replace(r"\ ", r"\s+") for a in _KIND_OF), key=len, reverse=True))
 _BEFORE_WORDS = "|".join(sorted((a for a, k in _KIND_OF.items() if k in _BEFORE), key=len, reverse=True))
-_HOUSE = r"(?:\b(?:h\.?\s?no|door\s+no|plot\s+no|plot|house\s+no|no)\b[.:\s]*|#\s*)*(?<![\w/])(\d{1,4})(?:\s?/\s?[a-z0-9]\b|[a-z]\b|\s(?:bis|ter)\b)?"
+_HOUSE = r"(?:\b(?:h\.?\s?no|door\s+no|plot\s+no|plot|house\s+no|no)\b[.:\s]*|#\s*)*(?<![\w/\-])(\d{1,6})(?:\s?/\s?[a-z0-9]\b|[a-z]\b|\s(?:bis|ter)\b)?"
 _AFTER = re.compile(rf"{_HOUSE}[|\s,.]+((?:[a-z']+\s+){{0,2}}?[a-z']{{3,}})\s+({_KIND})\b\.?(?=\s*(?:$|\||\s))")
 _FRONT = re.compile(rf"{_HOUSE}[|\s,.]+({_BEFORE_WORDS})\b\.?\s*([a-z']{{3,}})")
 _BARE = re.compile(rf"{_HOUSE}[|\s,.]+([a-z']{{5,}})\b")
 _POSTAL = re.compile(r"(?<![\w#])(\d{6}|\d{5})(?:-\d{4})?(?!\w)")
 _OCR = re.compile(r"(?<![a-z0-9])(?=[0-9oilsb]*\d)[0-9oil]{2,6}(?=/[a-z0-9]\b|[^a-z0-9]|$)")
+_LABEL = r"(?:\b(?:h\s?\.?\s?no|hn|house\s+no|house|door\s+no|d\.?\s?no|plot\s+nos?|plot|pt\.?\s+no|kh\.?\s+no|s\.?\s?no|survey\s+no|building\s+no|bungalow\s+no|sh?p\.?\s+no|no)\b[.:\s\-]*|#\s*)"
+# a number, perhaps with a letter or two in front, and its further parts
+_PARTS = r"(?!\d+(?:st|nd|rd|th)\b|no\b|hn\b)(?:[a-z]{1,2}-?)?\d{1,6}[a-z]?(?:\s1/2)?(?:[-/]\s?[a-z0-9]{1,5}(?![a-z0-9])){0,6}"
+_MORE = "|".join(sorted((re.escape(a).replace(r"\ ", r"\s+") for a in _MORE_OF), key=len, reverse=True))
+_ANY_AFTER = re.compile(rf"(?<![\w/\-])({_PARTS})-?[|\s,.]+((?:[a-z0-9'.\-]+\s+){{0,4}}?[a-z0-9'.\-]+)\s+({_MORE})\b\.?(?=\s*(?:$|\||\s))")
+_LABELLED = re.compile(rf"{_LABEL}({_PARTS})(?!\w)")
+_LEADING = re.compile(rf"(?:^|\|)\s*({_PARTS})(?!\w)")
+_STREET_NEXT = re.compile(rf"[\s.]+(?!\d+\b)(?:[a-z0-9'.\-]+\s+){{1,4}}?(?:{_MORE})\b")
+_SUFFIX = re.compile(r"(?<=\d)(?:[-/]?\s?[a-z])$")
 _WORD = re.compile(r"[a-z0-9']+")
 _LETTER = str.maketrans("013578", "oiestb")
 
@@ -94,38 +121,78 @@ def state_of(word: str) -> str | None:
     return _near(word, _STATE_NAMES, _STATE_NEAR, 2) if len(word) >= 4 else None
 
 
-def parse(address: str | None) -> tuple[int, str, str, str, str, str] | None:
+def _segments(t: str) -> tuple[str, str]:
+    """(text with segments parted by bars, postal code) without units, landmarks, country and postal code."""
+    t = _CUT.sub("|", t)
+    t = _UNIT.sub("|", t)
+    t = _LANDMARK.sub("|", t)
+    t = _COUNTRY.sub("|", t)
+    for m in reversed(list(_POSTAL.finditer(t))):
+        # a number in front of a street is a house number, however long
+        if not (t[: m.start()].rstrip(" #")[-1:] in ("", "|") and _STREET_NEXT.match(t, m.end())):
+            return re.sub(r"\s+", " ", t[: m.start()] + "|" + t[m.end() :]), m[1]
+    return re.sub(r"\s+", " ", t), ""
+
+
+def _at_large(t: str) -> tuple[str, str, str, int, int] | None:
+    """(house, street, kind, from, to) where the streets of the grammar are not met.
+
+    In this order: a house number and some words before any kind of street or settlement; a number under a label; a
+    number that begins a segment. The street is what follows in the segment, or the next segment that holds a word.
+    """
+    if m := _ANY_AFTER.search(t):
+        house, street, kind, end = m[1], m[2], _MORE_OF[re.sub(r"\s+", " ", m[3])], m.end()
+    else:
+        m = _LABELLED.search(t) or _LEADING.search(t)
+        if not m:
+            return None
+        house, street, kind, end = m[1], "", "", m.end()
+        for seg in re.finditer(r"[^|]+", t[m.end() :]):
+            words = [w for w in _WORD.findall(seg[0]) if not w.isdigit()]
+            if any(len(w) > 1 for w in words):
+                if len(words) > 1 and words[-1] in _MORE_OF:
+                    kind = _MORE_OF[words.pop()]
+                street, end = " ".join(words[:5]), m.end() + seg.end()
+                break
+        if not street:
+            return None
+    street = " ".join(_WORD.findall(street))
+    house = _SUFFIX.sub("", house.replace(" ", "") if " 1/2" not in house else house)
+    return house.lstrip("0") or "0", street, kind, m.start(), end
+
+
+def parse(address: str | None) -> tuple[int | str, str, str, str, str, str] | None:
     """(house, street, kind, town, state, postal) or None where no place is denoted.
 
-    Missing components are empty. None: null, filler, no house number or a masked one, no street.
+    Missing components are empty; a house number of several parts ("16-11-23/37") is text. None: null, filler, no house
+    number or a masked one, no street.
     """
     if not address or plain(address).strip() in FILLERS:
         return None
     t = plain(address.replace("\xa0", " ")).strip()
     if re.search(r"#\s?#+|[*x]{2}\d|\d\*|\*\d", t):
         return None
+    typed = t
     t = _OCR.sub(lambda m: m[0].translate(str.maketrans("oil", "011")), t)
     # other digits inside words are letters
-    t = _RUN.sub(_letters, t)
-    t = _CUT.sub("|", t)
-    t = _UNIT.sub("|", t)
-    t = _LANDMARK.sub("|", t)
-    t = _COUNTRY.sub("|", t)
-    postal = ""
-    if found := list(_POSTAL.finditer(t)):
-        postal = found[-1][1]
-        t = t[: found[-1].start()] + "|" + t[found[-1].end() :]
-    t = re.sub(r"\s+", " ", t)
-    front, after = _FRONT.search(t), _AFTER.search(t)
+    t, postal = _segments(_RUN.sub(_letters, t))
+    halved = re.search(r"\d\s1/2\b", typed)
+    front, after = (None, None) if halved else (_FRONT.search(t), _AFTER.search(t))
+    bare = None if front or after or halved else _BARE.search(t)
     if front and not (after and after[3] not in ("r", "pl") and after.start() <= front.start() and after.end() > front.end()):
-        house, kind, street, m = front[1], _KIND_OF[front[2]], front[3], front
+        house, kind, street, at, end = int(front[1]), _KIND_OF[front[2]], front[3], front.start(), front.end()
     elif after:
-        house, street, kind, m = after[1], after[2], _KIND_OF[re.sub(r"\s+", " ", after[3])], after
-    elif bare := _BARE.search(t):
-        house, street, kind, m = bare[1], bare[2], "", bare
+        house, street, kind, at, end = int(after[1]), after[2], _KIND_OF[re.sub(r"\s+", " ", after[3])], after.start(), after.end()
+    elif bare and not _ANY_AFTER.search(t):
+        house, street, kind, at, end = int(bare[1]), bare[2], "", bare.start(), bare.end()
     else:
-        return None
-    rest = t[: m.start()] + "|" + t[m.end() :]
+        t, postal = _segments(typed)
+        if not (found := _at_large(t)):
+            return None
+        house, street, kind, at, end = found
+        house = int(house) if house.isdigit() else house
+    street = " ".join(ORDINALS.get(w, w) for w in street.split())
+    rest = t[:at] + "|" + t[end:]
     state, towns = "", []
     for seg in rest.split("|"):
         words = _WORD.findall(seg.replace("-", " "))
@@ -149,26 +216,24 @@ def parse(address: str | None) -> tuple[int, str, str, str, str, str] | None:
         towns += words
     if state in _STATE_CODES:
         state = _STATE_CODES[state][0 if len(_STATE_CODES[state]) == 1 or len(postal) != 6 else -1]
-    return int(house), street.replace(" ", ""), kind, "".join(w for w in towns if len(w) > 1), state, postal
+    return house, street.replace(" ", ""), kind, "".join(w for w in towns if len(w) > 1), state, postal
 
 
-PLACE = T.StructType(
-    [T.StructField("house", T.IntegerType())] + [T.StructField(f, T.StringType()) for f in ("street", "kind", "town", "state", "postal")]
-)
+PLACE = T.StructType([T.StructField(f, T.StringType()) for f in ("house", "street", "kind", "town", "state", "postal")])
 
 
 @F.pandas_udf(PLACE)
 def place(addresses: pd.Series) -> pd.DataFrame:
     rows = [parse(x) or (None, None, None, None, None, None) for x in addresses]
-    out = pd.DataFrame(rows, columns=["house", "street", "kind", "town", "state", "postal"])
-    return out.astype({"house": "Int32"})
+    rows = [(None if r[0] is None else str(r[0]), *r[1:]) for r in rows]
+    return pd.DataFrame(rows, columns=["house", "street", "kind", "town", "state", "postal"])
 
 
 # not to be parsed a second time below an aggregation for the sake of a filter
 place = place.asNondeterministic()
 
 
-def _keys(house: int, street: str, town: str, state: str, postal: str) -> list[str]:
+def _keys(house: str, street: str, town: str, state: str, postal: str) -> list[str]:
     c = code(street)
     keys = []
     if town:
@@ -272,7 +337,9 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column:
     grown = labels_of(spark, links, scratch)
     base = nodes.join(firm.select("node", "label"), "node", "left").select(*fields, F.coalesce("label", "node").alias("base"))
     of_node = base.join(grown, base["base"] == grown["id"], "left").select(*fields, F.coalesce("label", "base").alias("label"))
-    return source.join(rows.join(of_node, fields).select("address", "label", *parts), "address").select("id", "label", *parts).distinct()
+    of_address = rows.join(of_node, fields).select(F.col("address").alias("_a"), F.struct("label", *parts).alias("_r"))
+    # one filler may be the address of any share of the rows
+    return lookup_join(source, "address", of_address, "_a", "_r", "_r").select("id", "_r.*").distinct()
 
 
 def same_premises(spark: SparkSession, df: DataFrame, id_column: str, address_column: str, left: str = "entity_id_a", right: str = "entity_id_b") -> DataFrame:

@@ -1,7 +1,8 @@
 """Variant spellings of business names typed by people.
 
 A name is read into parts (given name, family names, trade, number), whatever the order, script, case, legal form,
-"doing business as" prefix or web address around them. Variants are linked by the method named for the problem:
+"doing business as" prefix or web address around them. A word that no table knows is a family word, so names of made-up
+words, or in scripts that aren't transliterated, are compared by these. Variants are linked by the method named for the problem:
 
 * block by phonetic codes of the sorted tokens: the code pair of both family names, and each code by itself
   together with the trade and a hint at the other token, so a mistyped consonant in one of them does no harm;
@@ -14,8 +15,10 @@ addresses, hashtags) join a cluster only if all clusters of that name agree on o
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
+from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -25,40 +28,69 @@ from pyspark.sql import types as T
 from knotwork.functions.memo import Memo
 from knotwork.functions.similarity import jaro_winkler
 from knotwork.llm.groups import labels_of
+from knotwork.operators.skew import lookup_join
 from knotwork.session import Scratch
 
 # Given names and their short forms.
 NICKNAMES = {
-    "richard": "rick dick ric rich", "patricia": "pat trish patty", "katherine": "kate kathy kat", "robert": "rob bob bobby",
-    "elizabeth": "liz beth betty eliza", "edward": "ed ted eddie", "william": "will bill billy", "margaret": "maggie peggy meg",
-    "james": "jim jimmy jamie", "krishnan": "krish kittu", "venkatesh": "venky venkat", "rajendra": "raj raju",
-    "lakshmi": "laxmi", "subramaniam": "subbu mani", "frederic": "fred", "alexandre": "alex", "jacqueline": "jacquie",
-    "dominique": "domi", "genevieve": "ginette",
+    "abigail": "abby gail", "abraham": "abe bram", "albert": "al bert albie", "alexander": "alex xander sasha alec", "alexandra": "sandra sandy lexi", "alexandre": "alex",
+    "alfred": "alf alfie fred", "amanda": "mandy", "andrew": "andy drew", "anthony": "tony", "arthur": "art artie", "barbara": "barb babs barbie", "benjamin": "ben benny benji",
+    "bernard": "bernie", "catherine": "cathy cat", "charles": "charlie chuck chas", "christina": "tina chrissie", "christine": "chris chrissy", "christopher": "chris topher kit",
+    "clifford": "cliff", "cynthia": "cindy", "daniel": "dan danny", "david": "dave davy", "deborah": "deb debbie debby", "dominique": "domi", "donald": "don donny", "dorothy": "dot dottie dolly",
+    "douglas": "doug", "edward": "ed ted eddie ned", "eleanor": "ellie nell nora", "elizabeth": "liz beth betty eliza lizzie betsy", "emmanuel": "manu manny", "ernest": "ernie",
+    "eugene": "gene", "florence": "flo flossie", "frances": "fran frankie", "francis": "frank", "francois": "fanfan", "franklin": "frank", "frederic": "fred", "frederick": "fred freddy fritz", "gabriel": "gabe",
+    "genevieve": "ginette", "geoffrey": "geoff", "gerald": "gerry jerry", "gregory": "greg", "gurpreet": "guri", "harold": "hal harry", "harpreet": "happy", "henry": "hank harry hal",
+    "isabelle": "isa", "jacqueline": "jacquie jackie", "james": "jim jimmy jamie", "janet": "jan", "jeffrey": "jeff", "jennifer": "jen jenny", "jessica": "jess jessie", "john": "johnny jack",
+    "jonathan": "jon", "joseph": "joe joey", "joshua": "josh", "judith": "judy", "katherine": "kate kathy kat katie", "kenneth": "ken kenny", "krishnan": "krish kittu", "lakshmi": "laxmi", "laurence": "laurie",
+    "lawrence": "larry", "leonard": "len lenny", "margaret": "maggie peggy meg", "matthew": "matt", "maximilian": "max", "melissa": "mel", "michael": "mike mick mickey", "mohammed": "mohamed muhammad mohd", "nathaniel": "nate",
+    "nicholas": "nick nicky", "nicolas": "nico", "pamela": "pam", "patricia": "pat trish patty", "patrick": "paddy", "peter": "pete", "philip": "phil", "philippe": "phil", "priyanka": "priya",
+    "rajendra": "raj raju", "raymond": "ray", "rebecca": "becky", "richard": "rick dick ric rich ricky", "robert": "rob bob bobby robbie bert", "ronald": "ron ronnie", "samantha": "sam", "samuel": "sam sammy",
+    "sebastien": "seb", "stephanie": "steph", "stephen": "steve", "steven": "steve", "subramaniam": "subbu mani", "sundararajan": "sundar", "susan": "sue suzy", "theodore": "theo ted teddy", "theresa": "terry tess",
+    "thomas": "tom tommy", "timothy": "tim timmy", "valerie": "val", "venkatesh": "venky venkat", "victoria": "vicky tori", "vincent": "vince", "virginia": "ginny", "walter": "walt wally", "william": "will bill billy willie",
+    "yogendra": "yogi", "zachary": "zach zack",
 }
 
 # Trades and their usual short or other forms.
 TRADES = {
-    "plumbing": "plbg plumbng plumb", "dental": "dntl clinic dental klinik", "manufacturing": "mfg manuf manufacturng", "hardware": "hdwe hardwre",
-    "brewing": "brew brewng brewery", "logistics": "lgstcs logistic", "construction": "const constr constrution", "bakery": "bakers bakry",
-    "consulting": "cnslt consultng", "textiles": "txtls textile", "jewellers": "jewlers jewelers", "pharmacy": "pharm pharmcy",
-    "motors": "motor mtrs", "realty": "rlty relty", "electronics": "electronic elec", "academy": "acad acadmy",
-    "photography": "photo photografy", "landscaping": "landscape lndscpg", "insurance": "ins insurence", "furniture": "furn furnture",
-    "catering": "caterers catring", "printing": "print prtg", "veterinary": "vet vetrinary", "travels": "travel trvls",
-    "fitness": "fit fitnes", "roofing": "roof roofng", "opticians": "optics opticans", "foods": "food fds",
-    "trading": "traders trdg", "chemicals": "chem chemcals", "security": "sec securty", "engineering": "eng engg enginering",
+    "academy": "acad", "accounting": "acctg accountants accountancy", "advertising": "advtg", "agency": "agcy", "apparel": "garments clothing", "architects": "architecture", "automotive": "auto autos", "bakery": "bakers boulangerie",
+    "barbershop": "barbers", "beverages": "bev", "boutique": "btq", "brewing": "brew brewery", "builders": "bldrs", "cafe": "coffee", "carpentry": "carpenters", "catering": "caterers", "ceramics": "tiles", "chemicals": "chem chemical",
+    "cleaning": "cleaners", "communications": "telecom telecommunications", "computers": "computer", "construction": "const constr constructions", "consulting": "cnslt consultants consultancy", "cosmetics": "beauty",
+    "dairy": "milk", "dental": "dntl dentistry dentists", "design": "designs designers", "distribution": "distributors", "electrical": "electricals electricians", "electronics": "electronic elec", "energy": "solar", "engineering": "eng engg engineers", "entertainment": "ent",
+    "events": "event", "excavation": "excavating", "exports": "export exporters", "farms": "farm farming", "fashion": "fashions", "finance": "financial fin", "fisheries": "seafood", "fitness": "fit gym", "flooring": "floors", "florist": "flowers florists",
+    "foods": "food fds", "forestry": "timber", "foundry": "castings", "furniture": "furn furnishings", "glass": "glazing", "granite": "marble", "graphics": "graphic", "hardware": "hdwe", "healthcare": "health", "hospital": "hosp hospitals",
+    "hotels": "hotel", "hvac": "heating cooling", "imports": "importers", "infrastructure": "infra infracon", "insurance": "ins", "interiors": "interior", "investments": "investment", "irrigation": "pumps", "jewellers": "jewelers jewelry jewellery", "kitchens": "kitchen",
+    "laboratories": "labs laboratory", "landscaping": "landscape lndscpg landscapes", "laundry": "drycleaners", "leather": "tannery", "legal": "law attorneys", "lighting": "lights", "logistics": "lgstcs logistic", "machinery": "machines", "maintenance": "maint", "management": "mgmt",
+    "manufacturing": "mfg manuf manufacturers", "marine": "boats", "marketing": "mktg", "masonry": "masons", "mechanical": "mech", "media": "multimedia", "medical": "med medicals", "metals": "metal", "mining": "minerals", "motors": "motor mtrs",
+    "movers": "moving", "music": "musical", "nursery": "nurseries", "nursing": "nurses", "opticians": "optics optical", "packaging": "packagers", "painting": "painters", "paints": "coatings", "paper": "papers", "pest": "fumigation", "petroleum": "fuels oil",
+    "pharmacy": "pharm pharma pharmaceuticals", "photography": "photo photos", "physiotherapy": "physio", "plastics": "plastic", "plumbing": "plbg plumb plumbers", "poultry": "hatchery", "printing": "print prtg printers", "properties": "property", "publishing": "publishers publications", "realty": "rlty realtors",
+    "recycling": "scrap", "refrigeration": "fridge", "restaurant": "rest restaurants diner", "roofing": "roof roofers", "salon": "hair", "school": "schools", "security": "sec", "software": "sw", "spa": "wellness", "sports": "sporting", "staffing": "recruitment", "stationery": "stationers",
+    "steel": "steels", "storage": "warehousing", "surveying": "surveyors", "sweets": "confectionery", "tailoring": "tailors", "textiles": "txtls textile", "toys": "toy", "trading": "traders trdg", "training": "coaching", "transport": "transportation haulage trucking",
+    "travels": "travel trvls tours", "tutoring": "tutors tuition", "tyres": "tires", "upholstery": "upholsterers", "veterinary": "vet vets", "video": "videos", "watches": "clocks", "welding": "welders", "winery": "wines vineyards", "woodworking": "joinery", "yoga": "pilates",
 }
 
+# Family names that are near the word of a trade; inside a name they are families.
+OCCUPATIONAL = frozenset("baker brewer carter cook cooper farmer fisher gardener glover mason miller painter plumber porter potter sawyer shepherd smith tailor taylor tanner turner weaver".split())
+
 # Words of legal forms and articles, which say nothing about who is meant.
 LEGAL = frozenset(
     "limited ltd llc inc incorporated corp corporation co company lp llp pc pvt private sarl eurl sas sa societe anonyme liability partnership"
     " professional praivet praiwet limited limitet the ms and et".split()
 )
+# Words for any kind of establishment.
+GENERIC = frozenset("clinic klinik center centre".split())
 
-#: A word of more letters is no name, and of more family words than three the first three count.
+#: A word of more letters is only compared for equality.
 LONGEST = 40
+#: A name of more family words is only compared with names that sound like it in all of them.
+MANY = 8
 
 _TRADE_OF = {w: t for t, ws in TRADES.items() for w in [t, *ws.split()]}
-_GIVEN_OF = {w: g for g, ws in NICKNAMES.items() for w in [g, *ws.split()]}
+_GIVEN_OF: dict[str, str] = {}
+for _g, _ws in NICKNAMES.items():
+    for _w in [_g, *_ws.split()]:
+        # a short form of several names stands for each of them
+        _GIVEN_OF[_w] = f"{_GIVEN_OF[_w]}|{_g}" if _w in _GIVEN_OF else _g
+_TAIL_OF = {t: x for t, x in _TRADE_OF.items() if len(t) > 4}
 _DIGIT = str.maketrans("034578", "oeastb")
 # Devanagari letters.
 _DEVA = dict(
@@ -129,7 +161,7 @@ def _near(word: str, exact: dict[str, str], near: dict[str, list[str]], most: in
     """The entry of ``word``, or of a word at most ``most`` edits away (one, where either has under eight letters)."""
     if word in exact:
         return exact[word]
-    if not 5 <= len(word) <= LONGEST:
+    if not 5 <= len(word) <= LONGEST or word in OCCUPATIONAL:
         return None
     best = (most + 1, "")
     for d in _deletions(word, min(most, 2 if len(word) >= 8 else 1)):
@@ -173,6 +205,8 @@ _WEB_TAIL = re.compile(r"\s[|\-–]\s*(?:https?://)?(?:www\.)?([\w\-]+)\.(?:[a-z
 _WEB = re.compile(r"^\W*(?:https?://)?(?:www\.)?([^\W_][\w\-]*)\.(?:(?:com|in|biz|co|org|net|fr|us|info)\.)?(?:example|com|in|biz|org|net|fr|us|info)/?\s*$", re.I)
 _HASH = re.compile(r"^\s*#\s*([^\W\d_][\w\-]*)\s*$")
 _DOTTED = re.compile(r"\b(?:[a-z]\.\s?){2,}(?![a-z]\.)|\b(?:[a-z]\.){1,}[a-z]\b")
+# white space and punctuation; marks that belong to letters of any script stay with their word
+_SPLIT = re.compile("[\\s\\x00-/:-@\\[-`{-\xbf\u2000-\u206f\u3000-\u303f\u0964]+")
 _NUMBER = re.compile(r"(?:\bno\b\.?|#|№|\bn[°ºr]\.?|\bnumber\b)\s*(\d{1,4})\b|(?<=\s)(\d{1,4})(?=\s*$|[\s,\-.]+)")
 _CAMEL = re.compile(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ][a-zà-ÿ])")
 
@@ -180,7 +214,7 @@ _CAMEL = re.compile(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ][a-zà-ÿ])")
 def read(name: str | None) -> tuple[str, str, str, str, str, bool] | None:
     """(given, families joined by a space, trade, number, joined, folded) of a name, or None if nothing is left.
 
-    ``given`` is a canonical given name or a one-letter initial; ``joined`` holds families written as one word;
+    ``given`` is a canonical given name (several, parted by bars, for a short form of several) or a one-letter initial; ``joined`` holds families written as one word;
     ``folded`` tells that letters are uncertain because another script was used.
     """
     if not name:
@@ -202,17 +236,20 @@ def read(name: str | None) -> tuple[str, str, str, str, str, bool] | None:
         number = (m[1] or m[2]).lstrip("0")
         text = text[: m.start()] + " " + text[m.end() :]
     given, trade, fams, initials = "", "", [], []
-    tokens = [t for t in re.split(r"[^a-z0-9]+", text) if t]
-    for t in tokens:
+    tokens = [t for t in _SPLIT.split(text) if t]
+    certain = any(t in _TRADE_OF for t in tokens)  # then a word near another trade is none
+    for at, t in enumerate(tokens):
         if any(c.isdigit() for c in t):
             if t.isdigit():
                 continue
             t = re.sub(r"(?<=[aeiou])1|1(?=[aeiou])", "l", t).replace("1", "i").translate(_DIGIT)
-        if t in LEGAL or len(t) > LONGEST:
+        if t in LEGAL or t in GENERIC and len(tokens) > 1:
             continue
+        if len(t) > LONGEST:
+            t = t[:LONGEST] + hashlib.md5(t.encode()).hexdigest()
         if len(t) == 1:
             initials.append(t)
-        elif (x := trade_of(t)) and not (trade and x != trade and len(t) < 5):
+        elif (x := _TRADE_OF.get(t) if certain else trade_of(t)) and not (t in OCCUPATIONAL and 0 < at < len(tokens) - 1) and not (trade and x != trade and len(t) < 5):
             trade = trade or x
         elif not given and (x := given_of(t)):
             given = x
@@ -227,22 +264,14 @@ def read(name: str | None) -> tuple[str, str, str, str, str, bool] | None:
         if parts and (x := trade_of(parts[-1])):
             trade, parts = trade or x, parts[:-1]
         if len(parts) == 1 and not fams:
-            for t, x in _TRADE_OF.items():
-                if len(t) > 4 and parts[0].endswith(t) and len(parts[0]) > len(t) + 5:
-                    trade, parts = trade or x, [parts[0][: -len(t)]]
-                    break
+            trade, word = _without_trade(parts[0], trade)
+            # a web address or hashtag may be several words without a space
+            joined, parts = (word, []) if len(word) >= 6 else ("", [word])
         if not fams:
-            fams = [p for p in parts if p not in LEGAL and len(p) <= LONGEST]
+            fams = [p for p in parts if p not in LEGAL]
     if len(fams) == 1 and len(fams[0]) > 10:
-        word = fams[0]
-        for t, x in _TRADE_OF.items():
-            if len(t) > 4 and word.endswith(t) and len(word) > len(t) + 5:
-                trade, word = trade or x, word[: -len(t)]
-                break
-        fams = [word]
-        if len(word) >= 11:
-            joined, fams = word, []
-    fams = fams[:3]
+        trade, word = _without_trade(fams[0], trade)
+        joined, fams = (word, []) if len(word) >= 11 else ("", [word])
     if not fams and not joined:
         return None
     if initials and not given:
@@ -250,6 +279,14 @@ def read(name: str | None) -> tuple[str, str, str, str, str, bool] | None:
     return given, " ".join(fams), trade, number, joined, folded
 
 
+def _without_trade(word: str, trade: str) -> tuple[str, str]:
+    """(trade, rest) of a word that ends in the word of a trade; otherwise as it is."""
+    for t, x in _TAIL_OF.items():
+        if word.endswith(t) and len(word) > len(t) + 5:
+            return trade or x, word[: -len(t)]
+    return trade, word
+
+
 READING = T.StructType([T.StructField(f, T.StringType()) for f in ("given", "families", "trade", "number", "joined")] + [T.StructField("folded", T.BooleanType())])
 
 
@@ -281,13 +318,16 @@ def _keys(given: str, families: str, trade: str, number: str, joined: str) -> li
                 out.update((f"C|{e}|{z[:2]}|{number}", f"C|{e}|{z[0]}{z[-2:]}|{number}", f"I|{e}|{z[0]}|{number}"))
 
     if joined:
-        for i in range(5, len(joined) - 4):
+        out.add(f"A|{code(joined)}||{number}")
+        for i in range(2, min(len(joined), LONGEST) - 1):
             both(joined[:i], joined[i:])
         return sorted(out)
+    if len(f) > MANY:
+        return ["L|" + "|".join(sorted(code(x) for x in f)) + f"|{number}"]
     if trade:
         out |= {f"B|{code(x)}|{trade}|{number}" for x in f}
     if len(f) == 1:
-        out.add(f"I|{code(f[0])}|{given[0]}|{number}" if given else f"A|{code(f[0])}||{number}")
+        out.update({f"I|{code(f[0])}|{g[0]}|{number}" for g in given.split("|")} if given else [f"A|{code(f[0])}||{number}"])
     for i in range(len(f)):
         for j in range(i):
             both(f[i], f[j])
@@ -300,48 +340,85 @@ def blocking_keys(given: pd.Series, families: pd.Series, trade: pd.Series, numbe
     return pd.Series([_keys(*x) for x in zip(given, families, trade, number, joined)])
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def folded_forms(families: pd.Series, joined: pd.Series) -> pd.Series:
-    """Folded letters of a full name: all of them sorted, and, of two families, both orders without a space.
+_FORMS = T.StructType([T.StructField("raw", T.StringType()), T.StructField("folded", T.StringType()), T.StructField("lengths", T.ArrayType(T.IntegerType()))])
 
-    Empty for a name of which only one family is known.
-    """
 
-    def one(f: str, j: str) -> list[str]:
-        x = [fold(w) for w in ([j] if j else f.split())]
-        if not j and len(x) < 2:
-            return []
-        bag = ["".join(sorted("".join(x)))]
-        return bag + ([x[0] + x[1], x[1] + x[0]] if len(x) == 2 else [])
+@F.pandas_udf(_FORMS)
+def letter_forms(families: pd.Series, joined: pd.Series) -> pd.DataFrame:
+    """The sorted letters of two families or a joined name, as typed and folded, and the lengths of the parts of both.
 
-    return pd.Series([one(*x) for x in zip(families, joined)])
+    Of other names, of which only a part may have to agree, there are no lengths.
+    """
 
+    def one(f: str, j: str) -> tuple[str, str, list[int]]:
+        x = [j, ""] if j else f.split()
+        if len(x) != 2:
+            return "", "", []
+        y = [fold(w) for w in x]
+        return "".join(sorted("".join(x))), "".join(sorted("".join(y))), [len(w) for w in x + y]
 
-#: Edits between two full names beyond which Jaro-Winkler can't reach the least similarity. Of sorted letters, in
-#: which the order of the families makes no difference, an edit is at most two.
-FAR, FAR_SORTED = 9, 10
+    return pd.DataFrame([one(*x) for x in zip(families, joined)], columns=["raw", "folded", "lengths"])
 
 
 def _possible(a: str, b: str) -> F.Column:
-    """What can be ruled out without the comparison proper: other trades, other given names, far families."""
+    """What can be ruled out without the comparison proper: other trades, other given names, far letters.
+
+    Jaro-Winkler of s, with a full common beginning, means a Jaro similarity of (s - 0.4) / 0.6, and this that of
+    lengths m and n at least (5 s - 3) mn / (m + n) letters match. So the letters without a match are bounded: for
+    two families by LEAST of one and 2 MEAN - LEAST of the other, for whole names by JOINED. Sorted letters are no more edits apart.
+    """
     x, y = F.col(a), F.col(b)
-    form = lambda r, i: F.get(r["forms"], F.lit(i))
-    full = (F.size(x["forms"]) > 0) & (F.size(y["forms"]) > 0)
-    two = (F.size(x["forms"]) == 3) & (F.size(y["forms"]) == 3)
     trades = (x["trade"] == y["trade"]) | (x["trade"] == "") | (y["trade"] == "")
-    given = (x["given"] == "") | (y["given"] == "") | (F.substring(x["given"], 1, 1) == F.substring(y["given"], 1, 1)) | ~two
-    near = F.when(two, (F.levenshtein(form(x, 1), form(y, 1), FAR) >= 0) | (F.levenshtein(form(x, 1), form(y, 2), FAR) >= 0)).otherwise(
-        F.when(full, F.levenshtein(form(x, 0), form(y, 0), FAR_SORTED) >= 0).otherwise(F.lit(True))
-    )
-    return trades & given & near
+    two = lambda r: (F.size(r["forms"]["lengths"]) == 4) & (r["joined"] == "")
+    initials = lambda r: F.transform(F.split(r["given"], r"\|"), lambda g: F.substring(g, 1, 1))
+    given = (x["given"] == "") | (y["given"] == "") | F.arrays_overlap(initials(x), initials(y)) | ~(two(x) & two(y))
+    folded = x["folded"] | y["folded"]
+    letters = F.levenshtein(F.when(folded, x["forms"]["folded"]).otherwise(x["forms"]["raw"]), F.when(folded, y["forms"]["folded"]).otherwise(y["forms"]["raw"]))
+    length = lambda r, i: F.when(folded, F.get(r["forms"]["lengths"], F.lit(i + 2))).otherwise(F.get(r["forms"]["lengths"], F.lit(i)))
+    both = lambda m, n: 2 * m * n / F.greatest(m + n, F.lit(1))
+    matching = lambda s: 5 * s - 3
+    low, high = matching(LEAST), matching(min(1.0, 2 * MEAN - LEAST))
+
+    def least(i: int, k: int) -> F.Column:
+        p, q = both(length(x, 0), length(y, i)), both(length(x, 1), length(y, k))
+        return F.least(low * p + high * q, high * p + low * q)
+
+    m, n = length(x, 0) + length(x, 1), length(y, 0) + length(y, 1)
+    bound = m + n - F.when(two(x) & two(y), F.least(least(0, 1), least(1, 0))).otherwise(matching(JOINED) * both(m, n))
+    known = (F.size(x["forms"]["lengths"]) == 4) & (F.size(y["forms"]["lengths"]) == 4)
+    return trades & given & (~known | (letters <= bound + 1e-6))
 
 
 #: Jaro-Winkler that a pair of family names must reach each, and on average, and that joined names must reach.
 LEAST, MEAN, JOINED = 0.76, 0.86, 0.9
+#: Jaro-Winkler and letters that names of one word must reach, where nothing else is known of them.
+COINED, COINED_LETTERS = 0.94, 6
+
+
+def _others(g: str, h: str) -> bool:
+    """Whether two given names, or initials, can't be one."""
+    if not g or not h:
+        return False
+    a, b = set(g.split("|")), set(h.split("|"))
+    return not ({x[0] for x in a} & {x[0] for x in b} if len(g) == 1 or len(h) == 1 else a & b)
+
+
+def _best_of(sim, at: int, few: int, many: int) -> list[float]:
+    """Similarities of ``few`` words to different ones of ``many``, the closest pairs taken first."""
+    out, rows, cols = [], set(), set()
+    for v, r, c in sorted(((float(sim[at + r * many + c]), -r, -c) for r in range(few) for c in range(many)), reverse=True):
+        if r not in rows and c not in cols:
+            out.append(v)
+            rows.add(r)
+            cols.add(c)
+    return out
 
 
 def _agree(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-    """Whether the readings in the rows of ``a`` and ``b`` name the same business."""
+    """Whether the readings in the rows of ``a`` and ``b`` name the same business.
+
+    Every family word of the shorter name must have a partner of its own in the longer one.
+    """
     n = len(a)
     fold_pair = (a["folded"].values | b["folded"].values)
 
@@ -365,8 +442,10 @@ def _agree(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
             left = [ja[i]] if ja[i] else [x + y for k, x in enumerate(A) for m, y in enumerate(A) if k != m]
             right = [jb[i]] if jb[i] else [x + y for k, x in enumerate(B) for m, y in enumerate(B) if k != m]
             if ja[i] and jb[i]:  # the parts may stand in either order
-                right += [jb[i][k:] + jb[i][:k] for k in range(4, len(jb[i]) - 3)]
-            if len(g) > 1 and len(h) > 1 and g != h:
+                right += [jb[i][k:] + jb[i][:k] for k in range(2, min(len(jb[i]), LONGEST) - 1)]
+            if len(A) + len(B) == 1 and not g and not h:  # the one word may be all of the name
+                left, right = left or A, right or B
+            if len(g) > 1 and len(h) > 1 and _others(g, h):
                 continue
             one, two, gi = (A, jb[i], g) if jb[i] and not ja[i] else (B, ja[i], h) if ja[i] and not jb[i] else ([], "", "")
             if len(one) == 1 and len(gi) == 1:  # an initial and one family against both as one word
@@ -379,24 +458,32 @@ def _agree(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
                     continue
             for x in left:
                 for y in right:
-                    slots.append((i, "J", len(xs)))
+                    slots.append((i, "J", len(xs), 1))
                     xs.append(x)
                     ys.append(y)
         elif len(A) >= 2 and len(B) >= 2:
-            if g and h and (g != h if len(g) > 1 and len(h) > 1 else g[0] != h[0]):
+            if _others(g, h):
                 continue
-            for k in range(len(A)):
-                for m in range(k + 1, len(A)):
-                    for r in range(len(B)):
-                        for s in range(len(B)):
-                            if r != s:
-                                slots.append((i, "P", len(xs)))
-                                xs += [A[k], A[m]]
-                                ys += [B[r], B[s]]
+            few, many = (A, B) if len(A) <= len(B) else (B, A)
+            if len(few) * len(many) <= 12:
+                for order in permutations(range(len(many)), len(few)):
+                    slots.append((i, "P", len(xs), len(few)))
+                    xs += few
+                    ys += [many[k] for k in order]
+            else:
+                slots.append((i, "G", len(xs), len(few)))
+                xs += [x for x in few for _ in many]
+                ys += many * len(few)
         elif len(A) == 1 and len(B) == 1:
-            if (g[:1] != h[:1]) or not g or (len(g) > 1 and len(h) > 1 and g != h) or not (ta[i] or tb[i]):
+            if not (g or h or ta[i] or tb[i]):
+                if min(len(A[0]), len(B[0])) >= COINED_LETTERS:
+                    slots.append((i, "C", len(xs), 1))
+                    xs.append(A[0])
+                    ys.append(B[0])
+                continue
+            if not g or not h or _others(g, h) or not (ta[i] or tb[i]):
                 continue
-            slots.append((i, "S", len(xs)))
+            slots.append((i, "S", len(xs), 1))
             xs.append(A[0])
             ys.append(B[0])
         else:  # one family and perhaps an initial against two families
@@ -405,18 +492,18 @@ def _agree(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
                 continue
             for k in range(len(two)):
                 rest = [two[m] for m in range(len(two)) if m != k]
-                if len(gi) == 1 and any(r[0] == gi for r in rest) or len(gi) > 1 and gi == go:
-                    slots.append((i, "S", len(xs)))
+                if len(gi) == 1 and any(r[0] == gi for r in rest) or len(gi) > 1 and go and not _others(gi, go) and len(go) > 1:
+                    slots.append((i, "S", len(xs), 1))
                     xs.append(one[0])
                     ys.append(two[k])
     sim = jaro_winkler(xs, ys) if xs else []
     out = [False] * n
-    for i, kind, at in slots:
-        if kind == "P":
-            lo, hi = sorted((sim[at], sim[at + 1]))
-            ok = lo >= LEAST and lo + hi >= 2 * MEAN
+    for i, kind, at, n_few in slots:
+        if kind in "PG":
+            s = sim[at : at + n_few] if kind == "P" else _best_of(sim, at, n_few, max(len(fa[i]), len(fb[i])))
+            ok = min(s) >= LEAST and sum(s) >= n_few * MEAN
         else:
-            ok = sim[at] >= (JOINED if kind == "J" else 0.9)
+            ok = sim[at] >= {"J": JOINED, "C": COINED, "S": 0.9}[kind]
         out[i] = out[i] or ok
     return pd.Series(out)
 
@@ -441,10 +528,10 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, name_column: str
     reps = scratch.cut(read_rows.groupBy(*fields).agg(F.min("first").alias("rep")))
     # two readings may share their first id when it was delivered twice with other names
     reps = reps.withColumn("node", F.concat_ws("\x01", "rep", F.lower(F.hex(F.xxhash64(*fields)))))
-    keyed = reps.select("node", F.struct(*fields, folded_forms("families", "joined").alias("forms")).alias("r"), F.explode(blocking_keys("given", "families", "trade", "number", "joined")).alias("key"))
+    keyed = reps.select("node", F.struct(*fields, letter_forms("families", "joined").alias("forms")).alias("r"), F.explode(blocking_keys("given", "families", "trade", "number", "joined")).alias("key"))
     full, initial = keyed.where("key not like 'I%'"), keyed.where("key like 'I%'")
     pairs = full.toDF("na", "ra", "key").join(full.toDF("nb", "rb", "key"), "key").where("na < nb")
-    singles = initial.where(F.size("r.forms") == 0)
+    singles = initial.where("r.joined = '' and r.families not like '% %'")
     pairs = pairs.unionByName(singles.toDF("na", "ra", "key").join(initial.toDF("nb", "rb", "key"), "key").where("na <> nb"))
     pairs = pairs.where(_possible("ra", "rb"))
     good = scratch.cut(pairs.where(same_name("ra", "rb")).select("na", "nb", F.col("ra.trade").alias("ta"), F.col("rb.trade").alias("tb")).distinct())
@@ -462,8 +549,9 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, name_column: str
     grown = labels_of(spark, links, scratch)
     base = reps.join(firm, "node", "left").select(*fields, F.coalesce("label", "node").alias("base"))
     of_node = base.join(grown, base["base"] == grown["id"], "left").select(*fields, F.coalesce("label", "base").alias("label"))
-    of_name = read_rows.join(of_node, fields).select("name", "label", *parts)
-    return source.join(of_name, "name").select("id", "label", *parts).distinct()
+    of_name = read_rows.join(of_node, fields).select(F.col("name").alias("_n"), F.struct("label", *parts).alias("_r"))
+    # one filler may be the name of any share of the rows
+    return lookup_join(source, "name", of_name, "_n", "_r", "_r").select("id", "_r.*").distinct()
 
 
 def variants(spark: SparkSession, df: DataFrame, id_column: str, name_column: str, left: str = "entity_id_a", right: str = "entity_id_b") -> DataFrame:

@@ -28,6 +28,22 @@ def test_loose_name_joins_no_class_of_two_trades(spark):
     assert got == {("4", "5")}
 
 
+def linked(spark, *rows):
+    df = spark.createDataFrame([(str(i), r) for i, r in enumerate(rows)], "id string, name string")
+    return {(int(r.entity_id_a), int(r.entity_id_b)) for r in names.variants(spark, df, "id", "name").collect()}
+
+
+def test_names_beyond_the_tables(spark):
+    got = linked(
+        spark, "Walmart", "Wallmart Inc", "Anderson Clark Davis Evans Widgets", "Anderson Clark Davis Foster Widgets", "Anderson Baker Clark Davis", "Davis, Anderson Bakre Clark", "Anderson Clark Davis Quillory",
+        "shahmehta.com", "Shah Mehta Widgets", "Рога и Копыта", "Копыта, Рога и", "北京贸易公司", "上海贸易公司", "Ted Quorvel Hastimun Roofing", "Edward Quorvel Hastimun Roofing", "Theodore Quorvel Hastimun Roofing",
+        " ".join(f"word{chr(97 + i)}ly" for i in range(12)), " ".join(f"word{chr(97 + i)}ly" for i in reversed(range(12))), "x" * 20_000, "x" * 19_999 + "y",
+        "bcdfghjklmnp qrstvwxzbcdf Roofing", "cbdfgjhklmpn rqstvxwzbdcf Roofing",
+    )
+    assert {(0, 1), (4, 5), (9, 10), (13, 14), (16, 17), (20, 21)} <= got
+    assert not {(2, 3), (4, 6), (11, 12), (18, 19)} & got
+
+
 @pytest.mark.parametrize(
     ("raw", "expected"),
     [
@@ -36,6 +52,10 @@ def test_loose_name_joins_no_class_of_two_trades(spark):
         ("30 Pl. Drozevelan, Bât. 3, 53344 Sodomac, France", (30, "drozevelan", "place", "sodomac", "", "53344")),
         ("H.No. 18/A, Krasomorus X Road, Behind Dranidard Bus Stand, Rokenpalli, PB 199774", (18, "krasomorus", "cross road", "rokenpalli", "punjab", "199774")),
         ("4OO5 Fapefotill Ave., Nosenville", (4005, "fapefotill", "avenue", "nosenville", "", "")),
+        ("17560 Ellis Road, Tahlequah, OK", (17560, "ellis", "road", "tahlequah", "oklahoma", "")), ("301 First Street, Chokio, MN", (301, "1st", "street", "chokio", "minnesota", "")),
+        ("Edwall, Washington, 29511 Tucker Prairie Rd", (29511, "tuckerprairie", "road", "edwall", "washington", "")), ("259 1/2 Cavalier Way, Burlington, NC", ("259 1/2", "cavalier", "way", "burlington", "north carolina", "")),
+        ("D No. 20-6-3/12, Dantuluri Vari Street, Vijayawada, Andhra Pradesh", ("20-6-3/12", "dantulurivari", "street", "vijayawada", "andhra pradesh", "")),
+        ("G-3/571, Gulmohar Colony, Bhopal, Madhya Pradesh", ("g-3/571", "gulmohar", "colony", "bhopal", "madhya pradesh", "")), ("110 Meadowbrook Acres, Canler, NC", (110, "meadowbrook", "acres", "canler", "north carolina", "")),
         ("##8 Main St, Nosenville", None), ("Main St, Nosenville", None), ("N/A", None), (None, None), ("", None),
     ],
 )
