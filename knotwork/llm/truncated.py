@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from knotwork.operators.skew import lookup_join
+from knotwork.operators.skew import Lookup, lookup_join, lookups
 from knotwork.session import Scratch
 
 _MARK = re.compile(r"(?:…|�|(?<=\S)\.\.\.|\[(?:truncated|cut|snip|\.\.\.)\])\s*$")
@@ -51,16 +51,16 @@ def _shape_part(m: re.Match) -> str:
 
 
 def shape(line: str) -> str:
-    """A line with its words, numbers and spaces made alike and repeated parts once; decimals keep their places."""
-    return _REPEAT.sub(r"\1+", _SHAPE.sub(_shape_part, line[-20_000:].strip())[-800:])[-160:]
+    """The end of a line with its words, numbers and spaces made alike and repeated parts once; decimals keep their places."""
+    return _REPEAT.sub(r"\1+", _SHAPE.sub(_shape_part, line.strip()))[-160:]
 
 
 def layout_of(text: str) -> str:
     """json, percent (cell marks), transcript (prompts) or markdown."""
-    head = text[:64].lstrip()
+    head = text.lstrip()
     if head.startswith(("{", "[")):
         return "json"
-    if head.startswith("# %%") or "\n# %%" in text[:4000]:
+    if head.startswith("# %%") or "\n# %%" in text:
         return "percent"
     if re.search(r"(?m)^(?:In|Out) ?\[[ \d]*\]:", text):
         return "transcript"
@@ -103,7 +103,7 @@ def _balance(block: str, kind: str, layout: str) -> str:
     """Brackets and quotes of a code block: closed or open."""
     if kind != "code":
         return ""
-    t = re.sub(r"(?m)^(?:In \[[ \d]*\]: |   \.\.\.: )", "", block[-4000:])
+    t = re.sub(r"(?m)^(?:In \[[ \d]*\]: |   \.\.\.: )", "", block)
     if layout == "markdown":
         return "closed" if t.count("```") % 2 == 0 else "open"
     last = t[t.rfind("\n") + 1 :].split("  # ")[0]
@@ -271,7 +271,7 @@ def judge(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_
     texts = seen.where("doc_id is not null")
     ends = texts.select("doc_id", "source", "chars", "bytes", "layout", F.explode("endings").alias("e")).select("doc_id", "source", "chars", "bytes", "layout", "e.*")
     ends = ends.withColumn("_s", F.concat_ws("\x01", "kind", "shape")).withColumn("_t", F.concat_ws("\x01", "kind", "tail"))
-    ends = lookup_join(lookup_join(ends, "_s", shapes, "sk", "sn", "sn", keep=True), "_t", tails, "tk", "tn", "tn", keep=True)
+    ends = lookups(ends, Lookup("_s", shapes, "sk", "sn", "sn", keep=True), Lookup("_t", tails, "tk", "tn", "tn", keep=True))
     # a ``whole`` ending is itself one of the counted ones
     own = F.when(F.col("role") == "whole", 1).otherwise(0)
     prose = F.col("shape").rlike("^[PHL]") & (F.col("kind") == "prose")
@@ -282,8 +282,7 @@ def judge(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_
         F.concat_ws("|", "layout", "cells").alias("g3"), "cells",
     ))
     # the last word is judged given the kind of line; after a sentence's end it says nothing
-    lr = F.lit(0.0)
-    scored = ends.where("role = 'end'")
+    lr, looks = F.lit(0.0), {}
     for g in ("g1", "g2"):
         within = F.lit("") if g == "g1" else F.substring_index("_g", "|", 2)
         t = ends.where("role in ('whole', 'cut')").groupBy(F.col(g).alias("_g")).agg(F.count_if(F.col("role") == "cut").alias("c"), F.count_if(F.col("role") == "whole").alias("w"))
@@ -292,19 +291,20 @@ def judge(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_
         t = t.select("_g", F.log((F.col("c") + 0.5) / (F.sum("c").over(w) + 1) / ((F.col("w") + 0.5) / (F.sum("w").over(w) + 1))).alias(f"l_{g}"))
         if g == "g2":
             t = t.where(~F.col("_g").contains("|S|"))
-        scored = lookup_join(scored, g, scratch.cut(t), "_g", f"l_{g}", f"l_{g}", keep=True)
+        looks[g] = scratch.cut(t)
         lr = lr + F.coalesce(f"l_{g}", F.lit(1.0 if g == "g1" else 0.0))
     # cells: cut places say how often fewer cells remain; of whole texts the declared number is taken as true
-    c = ends.where("role = 'cut' and cells <> ''").groupBy("layout").agg(F.avg((F.col("cells") == "fewer").cast("double")).alias("few"))
-    scored = lookup_join(scored, "layout", c, "layout", "few", "few", keep=True)
+    c = scratch.cut(ends.where("role = 'cut' and cells <> ''").groupBy("layout").agg(F.avg((F.col("cells") == "fewer").cast("double")).alias("few")))
+    limits = scratch.cut(limits_of(texts))
+    scored = lookups(
+        ends.where("role = 'end'"), Lookup("g1", looks["g1"], "_g", "l_g1", "l_g1", keep=True), Lookup("g2", looks["g2"], "_g", "l_g2", "l_g2", keep=True),
+        Lookup("layout", c, "layout", "few", "few", keep=True), Lookup("source", limits, "source", "of", "of", keep=True),
+    )
     few = F.coalesce("few", F.lit(0.8))
     lr = lr + F.when(F.col("cells") == "fewer", F.log(few / 0.01)).when(F.col("cells") == "equal", F.log((1 - few + 0.01) / 0.98)).otherwise(0.0)
     lr = lr + F.when(F.col("mark") == "mark", 7.0).otherwise(0.0)
     lr = F.when(F.col("kind") == "json", F.when(F.col("shape") == "broken", 14.0).otherwise(-14.0)).otherwise(lr)
-    scored = scratch.cut(scored.select("doc_id", "source", "chars", "bytes", F.exp(F.round(F.greatest(F.lit(-14.0), F.least(F.lit(14.0), lr)), 2)).alias("lr")))
-    limits = limits_of(texts)
-    # one row a source
-    scored = lookup_join(scored, "source", limits, "source", "of", "of", keep=True)
+    scored = scored.withColumn("lr", F.exp(F.round(F.greatest(F.lit(-14.0), F.least(F.lit(14.0), lr)), 2)))
     x = lambda o: F.when(o["measure"] == "chars", F.col("chars")).otherwise(F.col("bytes"))
     prior = F.array_max(F.transform(F.filter("of", lambda o: (x(o) > o["limit"] - NEAR) & (x(o) <= o["limit"])), lambda o: o["prior"]))
     scored = scratch.cut(scored.select("doc_id", "source", prior.isNotNull().alias("at_limit"), "lr", F.coalesce(prior, F.lit(0.02)).alias("prior")))

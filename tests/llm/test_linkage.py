@@ -29,7 +29,7 @@ def test_loose_name_joins_no_class_of_two_trades(spark):
 
 
 def linked(spark, *rows):
-    df = spark.createDataFrame([(str(i), r) for i, r in enumerate(rows)], "id string, name string")
+    df = spark.createDataFrame([(f"{i:03d}", r) for i, r in enumerate(rows)], "id string, name string")
     return {(int(r.entity_id_a), int(r.entity_id_b)) for r in names.variants(spark, df, "id", "name").collect()}
 
 
@@ -38,7 +38,7 @@ def test_names_beyond_the_tables(spark):
         spark, "Walmart", "Wallmart Inc", "Anderson Clark Davis Evans Widgets", "Anderson Clark Davis Foster Widgets", "Anderson Baker Clark Davis", "Davis, Anderson Bakre Clark", "Anderson Clark Davis Quillory",
         "shahmehta.com", "Shah Mehta Widgets", "Рога и Копыта", "Копыта, Рога и", "北京贸易公司", "上海贸易公司", "Ted Quorvel Hastimun Roofing", "Edward Quorvel Hastimun Roofing", "Theodore Quorvel Hastimun Roofing",
         " ".join(f"word{chr(97 + i)}ly" for i in range(12)), " ".join(f"word{chr(97 + i)}ly" for i in reversed(range(12))), "x" * 20_000, "x" * 19_999 + "y",
-        "bcdfghjklmnp qrstvwxzbcdf Roofing", "cbdfgjhklmpn rqstvxwzbdcf Roofing",
+        "bcdfghjklmnp qrstvwxbzcdf Roofing", "bcdgfhkjlnmp qrsvtxwbzcfd Roofing",
     )
     assert {(0, 1), (4, 5), (9, 10), (13, 14), (16, 17), (20, 21)} <= got
     assert not {(2, 3), (4, 6), (11, 12), (18, 19)} & got
