@@ -246,7 +246,7 @@ def read(name: str | None) -> tuple[str, str, str, str, str, bool] | None:
         if t in LEGAL or t in GENERIC and len(tokens) > 1:
             continue
         if len(t) > LONGEST:
-            t = t[:LONGEST] + hashlib.md5(t.encode()).hexdigest()
+            t = hashlib.sha256(t.encode()).hexdigest()  # as unlike others as words can be
         if len(t) == 1:
             initials.append(t)
         elif (x := _TRADE_OF.get(t) if certain else trade_of(t)) and not (t in OCCUPATIONAL and 0 < at < len(tokens) - 1) and not (trade and x != trade and len(t) < 5):

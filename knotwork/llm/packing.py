@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import importlib.util
+from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -53,7 +54,10 @@ def token_counts(docs: DataFrame, text: str, vocabulary: str, out: str = "tokens
 
 
 def patterns_of(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
-    """Patterns of up to six present lengths that leave little or nothing of a container unused."""
+    """Patterns of up to six different present lengths that leave little or nothing of a container unused.
+
+    Where even six of the longest don't fill a container, two lengths stand in a pattern as often as fits.
+    """
     present = np.sort(lengths)
     weights = np.cumsum(counts[np.argsort(lengths)]) / counts.sum()
 
@@ -64,11 +68,12 @@ def patterns_of(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[
 
     typical = [int(present[min(int(np.searchsorted(weights, q)), len(present) - 1)]) for q in np.linspace(0.02, 0.98, 25)]
     typical = sorted(set(typical))
+    short = 6 * int(present[-1]) < capacity
     out: set[tuple[int, ...]] = set()
 
     def add(*parts: int) -> None:
         rest = capacity - sum(parts)
-        while rest > 0 and len(parts) < 6:
+        while rest > 0 and (len(set(parts)) if short else len(parts)) < 6:
             x = below(rest)
             if not x:
                 break
@@ -76,7 +81,11 @@ def patterns_of(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[
         if 0 <= rest <= capacity // 50:
             out.add(tuple(sorted(parts, reverse=True)))
 
-    for a in present.tolist():
+    for i, a in enumerate(present.tolist() if short else ()):
+        # each length with a few others from all over the range, both equally often but for the last places
+        for b in present[(i + np.arange(8) * len(present) // 8) % len(present)].tolist():
+            add(*[a, b] * max(1, capacity // (a + b) - 1))
+    for a in present.tolist() if not short else ():
         add(a)
         for b in typical:
             if a + b <= capacity:
@@ -95,10 +104,11 @@ def fit(lengths: np.ndarray, counts: np.ndarray, patterns: list[tuple[int, ...]]
     their counts, so that rare lengths weigh as much as common ones relative to their spread.
     """
     row = {int(v): i for i, v in enumerate(lengths)}
-    r = np.array([row[v] for p in patterns for v in p])
-    c = np.repeat(np.arange(len(patterns)), [len(p) for p in patterns])
+    times = [Counter(p) for p in patterns]
+    r = np.array([row[v] for p in times for v in p])
+    c = np.repeat(np.arange(len(patterns)), [len(p) for p in times])
     scale = 1 / np.sqrt(counts.astype(float))
-    val, b = scale[r], counts * scale
+    val, b = scale[r] * np.array([k for p in times for k in p.values()]), counts * scale
     n, m = len(patterns), len(lengths)
     mult = lambda x: np.bincount(r, val * x[c], m)
     back = lambda y: np.bincount(c, val * y[r], n)
@@ -147,9 +157,9 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
         if patterns:
             x = fit(lengths, counts, patterns)
             for i in np.argsort(-x, kind="stable"):
-                if x[i] < 1:
+                if x[i] < 0.5:
                     break
-                take(patterns[i], int(x[i]))
+                take(patterns[i], int(x[i] + 0.5))
     # the rest: the largest length first, then always the largest that still fits
     while left:
         sizes = sorted(left, reverse=True)

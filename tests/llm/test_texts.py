@@ -126,6 +126,18 @@ def test_plan_covers_and_fills(seed):
     assert sum(k for _, k in packed) <= brute(lengths, 500) * 1.02 + 2
 
 
+def test_short_texts_are_packed_by_fitted_patterns():
+    r = np.random.default_rng(5)
+    lengths, counts = np.unique(r.integers(50, 201, 200_000), return_counts=True)
+    patterns = packing.patterns_of(lengths, counts, 4096)
+    assert len(patterns) > 1000 and all(4096 - 4096 // 50 <= sum(p) <= 4096 and len(set(p)) <= 6 for p in patterns)
+    x = packing.fit(lengths, counts, patterns)
+    fitted = sum(int(v + 0.5) * sum(p) for v, p in zip(x, patterns))
+    assert fitted >= 0.9 * (lengths * counts).sum()
+    packed = packing.plan(dict(zip(lengths.tolist(), counts.tolist())), 4096)
+    assert sum(k for _, k in packed) <= -(-int((lengths * counts).sum()) // 4096) * 1.005 + 1
+
+
 def test_plan_edges():
     assert packing.plan({}, 10) == [] and packing.plan({10: 3}, 10) == [((10,), 3)] and sum(k for _, k in packing.plan({6: 5}, 10)) == 5
     assert sum(k for _, k in packing.plan({5: 10**9, 10: 3}, 10)) == 5 * 10**8 + 3
