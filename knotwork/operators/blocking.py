@@ -220,30 +220,6 @@ def scored_blocking(left: DataFrame, right: DataFrame, k: int = 35, token_most:
     return summed.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("s1", "tgt", _two_places("score").alias("score"), "rank")
 
 
-def cascade_blocking(left: DataFrame, right: DataFrame, k: int = 25, bigram_most: int = 15_000, token_most: int = 20_000, postal_most: int = 500) -> DataFrame:
-    """(s1, tgt, stage, rank): targets by equal name, then two neighbouring tokens, single tokens, postal code.
-
-    A target counts in its first stage; an entity keeps its first ``k`` by stage and target. Keys with more targets
-    than stated are passed over.
-    """
-    def staged(stage: int, keys: Column) -> Column:
-        return F.transform(keys, lambda k: F.struct(F.lit(stage).alias("stage"), k.alias("key")))
-
-    def keyed(df: DataFrame, out: str) -> DataFrame:
-        t = F.col("name_tokens")
-        pairs = F.when(F.size(t) >= 2, F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - 2, F.lit(0))), lambda i: F.concat_ws(" ", F.get(t, i), F.get(t, i + 1)))).otherwise(F.array().cast("array<string>"))
-        rows = F.flatten(F.array(staged(1, F.filter(F.array("name_clean"), lambda x: x != "")), staged(2, F.array_distinct(pairs)), staged(3, F.array_distinct(t)), staged(4, F.filter(F.array("postal_clean"), lambda x: x != ""))))
-        return df.where("country is not null").select("country", F.col("entity_id").alias(out), F.explode(rows).alias("r")).select("country", out, "r.*")
-
-    most = F.element_at(F.create_map(*[F.lit(x) for x in (1, 2**31 - 1, 2, bigram_most, 3, token_most, 4, postal_most)]), F.col("stage"))
-    r = keyed(right, "tgt")
-    few = r.groupBy("country", "stage", "key").count().where(F.col("count") <= most).drop("count")
-    hits = keyed(left, "s1").join(few, ["country", "stage", "key"]).join(r, ["country", "stage", "key"])
-    first = hits.groupBy("s1", "tgt").agg(F.min("stage").alias("stage"))
-    w = Window.partitionBy("s1").orderBy("stage", "tgt")
-    return first.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 def intersection_blocking(left: DataFrame, right: DataFrame, idf: DataFrame, top: int = 3, k: int = 25) -> DataFrame:
     """(s1, tgt, shared, rank): targets that share two of an entity's ``top`` rarest name tokens, or one and a rare address token."""
     names = rarest(left, idf, "name", "name_tokens", top).select("entity_id", "country", "token", F.lit("n").alias("f"))

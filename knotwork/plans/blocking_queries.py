@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from knotwork.functions import normalize as N
 from knotwork.operators import blocking as B
+from knotwork.operators import staged as G
 from knotwork.operators.idf import idf_table
 from knotwork.plans import sql as S
 from knotwork.plans.text_queries import raw
@@ -50,7 +51,7 @@ def blocking_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocking_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.cascade_blocking(queries_side(spark, sf_dir), targets_side(spark, sf_dir))
+    return G.staged_blocking(queries_side(spark, sf_dir), targets_side(spark, sf_dir), *G.CASCADES["cascade"])
 
 
 def blocking_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
