@@ -193,33 +193,6 @@ def candidates(s1_clean: DataFrame, target_clean: DataFrame, idf: DataFrame, k:
 # ---- simpler strategies -------------------------------------------------------------------------------------------
 
 
-def _weighted_tokens(left: DataFrame, right: DataFrame, column: str, least: int, most: int, factor: float) -> DataFrame:
-    """(s1, tgt, w) of shared tokens that ``least`` to ``most`` targets have, weighing factor x ln(N / df)."""
-    t = right.select("country", F.col("entity_id").alias("tgt"), F.explode(F.array_distinct(column)).alias("token"))
-    n = right.groupBy("country").agg(F.count("*").alias("n"))
-    df = t.groupBy("country", "token").agg(F.count("*").alias("df")).where(F.col("df").between(least, most)).join(F.broadcast(n), "country")
-    df = df.withColumn("w", _micro(F.log(F.col("n") / F.col("df")) * factor)).select("country", "token", "w")
-    q = left.select("country", F.col("entity_id").alias("s1"), F.explode(F.array_distinct(column)).alias("token")).join(df, ["country", "token"])
-    return q.join(t, ["country", "token"]).select("s1", "tgt", "w")
-
-
-def scored_blocking(left: DataFrame, right: DataFrame, k: int = 35, token_most: int = 35_000, address_most: int = 10_000, postal_most: int = 1_000, postal_weight: float = 2.0) -> DataFrame:
-    """(s1, tgt, score, rank): equal names 100, shared tokens by rarity, shared postal code; the best ``k`` by their sum.
-
-    Tokens and codes more targets have than stated are not looked up, which also bounds the pairs of one key.
-    """
-    l, r = (x.where("country is not null and name_clean <> ''") for x in (left, right))
-    key = ["country", "name_clean"]
-    exact = l.select(*key, F.col("entity_id").alias("s1")).join(r.select(*key, F.col("entity_id").alias("tgt")), key).select("s1", "tgt", F.lit(100 * MILLION).cast("long").alias("w"))
-    key = ["country", "postal_clean"]
-    few = r.where("postal_clean <> ''").groupBy(*key).count().where(F.col("count") <= postal_most).select(*key)
-    postal = l.select(*key, F.col("entity_id").alias("s1")).join(few, key).join(r.select(*key, F.col("entity_id").alias("tgt")), key).select("s1", "tgt", _micro(postal_weight).alias("w"))
-    all_hits = exact.unionByName(_weighted_tokens(l, r, "name_tokens", 1, token_most, 1.0)).unionByName(_weighted_tokens(l, r, "addr_tokens", 2, address_most, 0.7)).unionByName(postal)
-    summed = all_hits.groupBy("s1", "tgt").agg(F.sum("w").alias("score"))
-    w = Window.partitionBy("s1").orderBy(F.desc("score"), "tgt")
-    return summed.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("s1", "tgt", _two_places("score").alias("score"), "rank")
-
-
 def intersection_blocking(left: DataFrame, right: DataFrame, idf: DataFrame, top: int = 3, k: int = 25) -> DataFrame:
     """(s1, tgt, shared, rank): targets that share two of an entity's ``top`` rarest name tokens, or one and a rare address token."""
     names = rarest(left, idf, "name", "name_tokens", top).select("entity_id", "country", "token", F.lit("n").alias("f"))

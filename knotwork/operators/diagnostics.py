@@ -111,20 +111,35 @@ def collisions(entities: DataFrame, columns: list[str], top: int = 10) -> DataFr
     return one.join(first, "column").select("column", "rows", "distinct_values", "largest", (F.col("t") / F.col("rows")).alias("top_share"))
 
 
+#: Parts of the distinct values of a feature.
+RANGES = 256
+
+
 def quality(rows: DataFrame, features: list[str], label: str = "label") -> DataFrame:
-    """(feature, means and deviations by label, auc, ks) of numeric features against a label of 0 and 1.
+    """(feature, means, medians and deviations by label, auc, ks) of numeric features against a label of 0 and 1.
 
     auc is the rank statistic with ties averaged, turned so that it is at least one half; ks the largest distance of
-    the two distributions. Values are counted once by value and label, so windows run over distinct values only.
+    the two distributions. Values are counted once by value and label, and the distinct values of a feature are divided
+    into RANGES parts at their quantiles, so no task orders more than one part of a continuous feature.
     """
     long = rows.select(F.col(label).alias("y"), F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])).alias("v")).select("y", "v.*").where("x is not null")
     c = long.groupBy("feature", "x").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n"))
-    w = Window.partitionBy("feature").orderBy("x")
-    c = c.withColumns({"cp": F.sum("p").over(w), "cn": F.sum("n").over(w), "ps": F.sum("p").over(Window.partitionBy("feature")), "ns": F.sum("n").over(Window.partitionBy("feature"))})
+    edges = c.groupBy("feature").agg(F.percentile_approx("x", [i / RANGES for i in range(1, RANGES)], 10_000).alias("_e"))
+    # a row a feature
+    c = c.join(F.broadcast(edges), "feature").withColumn("_r", F.size(F.filter("_e", lambda e: e < F.col("x")))).drop("_e")
+    all_ = Window.partitionBy("feature")  # at most RANGES rows a feature
+    parts = c.groupBy("feature", "_r").agg(F.sum("p").alias("rp"), F.sum("n").alias("rn"))
+    parts = parts.select("feature", "_r", *[(F.sum(f"r{s}").over(all_.orderBy("_r")) - F.col(f"r{s}")).alias(f"b{s}") for s in "pn"], *[F.sum(f"r{s}").over(all_).alias(f"{s}s") for s in "pn"])
+    w = Window.partitionBy("feature", "_r").orderBy("x")
+    c = c.join(parts, ["feature", "_r"]).withColumns({f"c{s}": F.col(f"b{s}") + F.sum(s).over(w) for s in "pn"})
     u = F.sum(F.col("p") * (F.col("cn") - F.col("n") + F.col("n") / 2))
     sums = lambda s: F.sum(F.col("x") * F.col(s))
     squares = lambda s: F.sum(F.col("x") * F.col("x") * F.col(s))
+    # the mean of the two middle values
+    at = lambda s, k: F.min(F.when(F.col(f"c{s}") >= k, F.col("x")))
+    middle = lambda s: (at(s, F.expr(f"({s}s + 1) div 2")) + at(s, F.expr(f"{s}s div 2 + 1"))) / 2
     g = c.groupBy("feature").agg(
+        middle("p").alias("mp"), middle("n").alias("mn"),
         F.max("ps").alias("positives"), F.max("ns").alias("negatives"), sums("p").alias("sp"), sums("n").alias("sn"), squares("p").alias("qp"), squares("n").alias("qn"),
         u.alias("u"), F.max(F.abs(F.col("cp") / F.col("ps") - F.col("cn") / F.col("ns"))).alias("ks"),
     )
@@ -132,7 +147,7 @@ def quality(rows: DataFrame, features: list[str], label: str = "label") -> DataF
     mean = lambda s, n: F.col(s) / F.col(n)
     sd = lambda q, s, n: F.sqrt(F.greatest(F.col(q) / F.col(n) - mean(s, n) * mean(s, n), F.lit(0.0)))
     return g.select(
-        "feature", "positives", "negatives", mean("sp", "positives").alias("mean_positive"), mean("sn", "negatives").alias("mean_negative"),
+        "feature", "positives", "negatives", mean("sp", "positives").alias("mean_positive"), mean("sn", "negatives").alias("mean_negative"), F.col("mp").alias("median_positive"), F.col("mn").alias("median_negative"),
         sd("qp", "sp", "positives").alias("sd_positive"), sd("qn", "sn", "negatives").alias("sd_negative"), F.greatest(a, 1 - a).alias("auc"), "ks",
     )
 

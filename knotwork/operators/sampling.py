@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,11 +14,24 @@ def lot(seed: int, *columns) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *columns))
 
 
+def placed_by_lot(df: DataFrame, by: list[str], seed: int, id_column: str) -> DataFrame:
+    """``df`` with ``_k``, the place of a row in its group by lot and id from 1, and ``_n``, the group's rows.
+
+    A group is counted in 4096 ranges of the lot first, so no task orders more than one range of a group.
+    """
+    rows = df.withColumn("_l", lot(seed, id_column)).withColumn("_r", F.substring("_l", 1, 3))
+    ranges = rows.groupBy(*by, "_r").agg(F.count("*").alias("_c"))
+    group = Window.partitionBy(*by)  # at most 4096 rows a group
+    ranges = ranges.withColumns({"_b": F.sum("_c").over(group.orderBy("_r")) - F.col("_c"), "_n": F.sum("_c").over(group)}).drop("_c")
+    same = lambda c: F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
+    joined = rows.alias("x").join(ranges.alias("y"), reduce(and_, [same(c) for c in by]) & (F.col("x._r") == F.col("y._r"))).select("x.*", "y._b", "y._n")
+    w = Window.partitionBy(*by, "_r").orderBy("_l", id_column)
+    return joined.withColumn("_k", F.col("_b") + F.row_number().over(w)).drop("_l", "_r", "_b")
+
+
 def holdout(df: DataFrame, by: str, share: float, seed: int = 42, id_column: str = "entity_id") -> DataFrame:
     """Exactly the whole part of ``share`` of each group's rows."""
-    w = Window.partitionBy(by).orderBy(lot(seed, id_column), id_column)
-    n = F.count("*").over(Window.partitionBy(by))
-    return df.withColumns({"_k": F.row_number().over(w), "_n": n}).where(F.col("_k") <= F.floor(F.col("_n") * share + 1e-9)).drop("_k", "_n")
+    return placed_by_lot(df, [by], seed, id_column).where(F.col("_k") <= F.floor(F.col("_n") * share + 1e-9)).drop("_k", "_n")
 
 
 def cardinality(n: Column) -> Column:
@@ -30,8 +46,8 @@ def folds(entities: DataFrame, truth_counts: DataFrame, n: int = 5, seed: int =
     e = entities.join(truth_counts.select(F.col("s1").alias("entity_id"), "n_true"), "entity_id", "left")
     e = e.select("entity_id", "country", F.coalesce("n_true", F.lit(0)).cast("int").alias("match_count"), (F.trim(F.coalesce("business_address", F.lit(""))) != "").cast("tinyint").alias("has_address"))
     e = e.withColumn("match_cardinality", cardinality(F.col("match_count")))
-    w = Window.partitionBy("country", "match_cardinality", "has_address").orderBy(lot(seed, "entity_id"), "entity_id")
-    return e.withColumn("fold_id", ((F.row_number().over(w) - 1) % n).cast("tinyint")).select("entity_id", "country", "match_cardinality", "has_address", "match_count", "fold_id")
+    e = placed_by_lot(e, ["country", "match_cardinality", "has_address"], seed, "entity_id")
+    return e.withColumn("fold_id", ((F.col("_k") - 1) % n).cast("tinyint")).select("entity_id", "country", "match_cardinality", "has_address", "match_count", "fold_id")
 
 
 def labelled_candidates(candidates: DataFrame, truth: DataFrame) -> DataFrame:
@@ -68,3 +84,17 @@ def chance(seed: int, *columns) -> Column:
 def random_sample(df: DataFrame, n: int, id_column: str = "entity_id", seed: int = 42) -> DataFrame:
     """``n`` rows by lot, the same in every run; every task first keeps its own ``n`` lowest lots."""
     return df.withColumn("_l", lot(seed, id_column)).orderBy("_l", id_column).limit(n).drop("_l")
+
+
+def fold_split(folds_table: DataFrame, fold: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(ids to train on, ids to check on) of a fold table: the entities outside and inside ``fold``; null folds are in neither."""
+    ids = folds_table.where("entity_id is not null").select("entity_id", "fold_id").distinct()
+    inside = ids.where(F.col("fold_id") == fold).select("entity_id").distinct()
+    return ids.where(F.col("fold_id") != fold).select("entity_id").distinct().join(inside, "entity_id", "left_anti"), inside
+
+
+def isolated(rows: DataFrame, folds_table: DataFrame, fold: int = 0, id_column: str = "source1_entity_id") -> DataFrame:
+    """``rows`` of labelled entities with ``part``: validation for those of ``fold``, train for the others; others' rows drop."""
+    train, held = (x.select(F.col("entity_id").alias(id_column)) for x in fold_split(folds_table, fold))
+    parts = train.withColumn("part", F.lit("train")).unionByName(held.withColumn("part", F.lit("validation")))
+    return rows.join(parts, id_column)

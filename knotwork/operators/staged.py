@@ -93,16 +93,18 @@ CASCADES = {
 class Part(NamedTuple):
     """One kind of key of a sum: its weight in terms of ``n`` targets of the country and ``df`` with the key.
 
-    With ``confirmed`` a hit counts only for pairs that share a name token, too, whatever its frequency.
+    Keys of fewer than ``least`` or more than ``most`` targets are passed over. With ``confirmed`` a hit counts only for pairs that share a name token, too, whatever its frequency.
     """
 
     kind: str
     weight: str
     most: int = 2**31 - 1
     confirmed: bool = False
+    least: int = 1
 
 
 SUMS = {
+    "scored": ([Part("name", "100.0"), Part("token", "ln(n / df)", 35_000), Part("place", "0.7 * ln(n / df)", 10_000, least=2), Part("postal", "2.0", 1_000)], 35),
     "power": ([Part("name", "100.0"), Part("token", "10.0 / pow(df, 0.3)", 25_000), Part("first", "15.0"), Part("postal", "20.0", 1_000, True)], 30),
     "weighted": ([Part("name", "100.0"), Part("bigram", "35.0"), Part("token", "ln(n / df)", 35_000), Part("place", "0.7 * ln(n / df)", 10_000), Part("postal", "20.0", 1_000, True)], 35),
 }
@@ -118,14 +120,14 @@ def summed_blocking(left: DataFrame, right: DataFrame, parts: list[Part], k: int
     r = _keyed(right, kinds, "tgt")
     n = right.where("country is not null").groupBy("country").agg(F.count("*").alias("n"))
     weight = F.coalesce(*[F.when(F.col("stage") == i, F.round(F.expr(p.weight) * MILLION).cast("long")) for i, p in enumerate(parts, 1)])
-    most = F.element_at(F.array(*[F.lit(p.most) for p in parts]), F.col("stage"))
-    df = r.groupBy("kk", "stage").agg(F.count("*").alias("df")).where(F.col("df") <= most)
+    by_stage = lambda f: F.element_at(F.array(*[F.lit(f(p)) for p in parts]), F.col("stage"))
+    df = r.groupBy("kk", "stage").agg(F.count("*").alias("df")).where(F.col("df").between(by_stage(lambda p: p.least), by_stage(lambda p: p.most)))
     # a row a country
     df = df.withColumn("country", F.substring_index("kk", "\x01", 1)).join(F.broadcast(n), "country").select("kk", weight.alias("w"))
     q = lookup_join(_keyed(left, kinds, "s1"), "kk", df.withColumnRenamed("kk", "_wk"), "_wk", "w", "w").select("s1", "stage", "kk", "w")
     kept = r.join(df.select("kk"), "kk", "left_semi")
     hits = many_join(q, "kk", kept, "kk", "tgt", "tgt").select("s1", "tgt", "stage", "w")
-    sure = F.element_at(F.array(*[F.lit(p.confirmed) for p in parts]), F.col("stage"))
+    sure = by_stage(lambda p: p.confirmed)
     out = hits.groupBy("s1", "tgt").agg(F.sum(F.when(~sure, F.col("w"))).alias("plain"), F.sum(F.when(sure, F.col("w"))).alias("if_token"))
     if any(p.confirmed for p in parts):
         doubtful = out.where("if_token is not null")

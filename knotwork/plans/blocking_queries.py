@@ -47,7 +47,8 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocking_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.scored_blocking(queries_side(spark, sf_dir), targets_side(spark, sf_dir))
+    named = lambda df: df.where("name_clean <> ''")
+    return G.summed_blocking(named(queries_side(spark, sf_dir)), named(targets_side(spark, sf_dir)), *G.SUMS["scored"])
 
 
 def blocking_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -195,7 +195,7 @@ def feature_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "candidate_schema").where(F.col("target_entity_id").isNotNull() & s.isNotNull() & ~F.isnan(s))
     t = _truth(spark, sf_dir).select(F.col("s1").alias("source1_entity_id"), F.col("tgt").alias("target_entity_id"), F.lit(1).alias("label"))
     out = D.quality(c.join(t, ["source1_entity_id", "target_entity_id"], "left").fillna(0, ["label"]), FLAGS)
-    return out.select("feature", "positives", "negatives", *[F.round(x, 6).alias(x) for x in ("mean_positive", "mean_negative", "sd_positive", "sd_negative", "auc", "ks")])
+    return out.select("feature", "positives", "negatives", *[F.round(x, 6).alias(x) for x in ("mean_positive", "mean_negative", "median_positive", "median_negative", "sd_positive", "sd_negative", "auc", "ks")])
 
 
 QUERIES = {
@@ -372,6 +372,7 @@ n as (select feature, x, count(*) filter (y = 1) as p, count(*) filter (y = 0) a
 w as (select *, sum(p) over a as cp, sum(n) over a as cn, sum(p) over b as ps, sum(n) over b as ns from n window a as (partition by feature order by x), b as (partition by feature)),
 u as (select feature, sum(p * (cn - n + n / 2)) / (max(ps) * max(ns)) as a, max(abs(cp / ps - cn / ns)) as ks from w group by feature)
 select feature, count(*) filter (y = 1) as positives, count(*) filter (y = 0) as negatives, round(avg(x) filter (y = 1), 6) as mean_positive, round(avg(x) filter (y = 0), 6) as mean_negative,
+       round(median(x) filter (y = 1), 6) as median_positive, round(median(x) filter (y = 0), 6) as median_negative,
        round(stddev_pop(x) filter (y = 1), 6) as sd_positive, round(stddev_pop(x) filter (y = 0), 6) as sd_negative, round(greatest(any_value(a), 1 - any_value(a)), 6) as auc, round(any_value(ks), 6) as ks
 from long join u using (feature) group by feature""",
 }

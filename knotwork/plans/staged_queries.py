@@ -19,7 +19,8 @@ def _sum(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 MORE = [n for n in G.CASCADES if n != "cascade"]
-QUERIES = {f"blocking_{n}": _cascade(n) for n in MORE} | {f"blocking_{n}": _sum(n) for n in G.SUMS}
+MORE_SUMS = [n for n in G.SUMS if n != "scored"]
+QUERIES = {f"blocking_{n}": _cascade(n) for n in MORE} | {f"blocking_{n}": _sum(n) for n in MORE_SUMS}
 
 
 def _neighbours(tokens: str) -> str:
@@ -74,4 +75,4 @@ select s1, tgt, ((w + 5000) // 10000) / 100 as score, cast(rank as integer) as r
 from (select *, row_number() over (partition by s1 order by w desc, tgt) as rank from summed where w > 0) where rank <= {k}"""
 
 
-SQL = {f"blocking_{n}": cascade_sql(*G.CASCADES[n]) for n in MORE} | {f"blocking_{n}": sum_sql(*x) for n, x in G.SUMS.items()}
+SQL = {f"blocking_{n}": cascade_sql(*G.CASCADES[n]) for n in MORE} | {f"blocking_{n}": sum_sql(*G.SUMS[n]) for n in MORE_SUMS}
