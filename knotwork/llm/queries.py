@@ -10,7 +10,7 @@ from knotwork.llm.leaks import leaked, spans
 from knotwork.llm.matching import labelled, match, unlabelled_matches
 from knotwork.llm.names import variants
 from knotwork.llm.packing import fill, pack
-from knotwork.llm.splits import broken_by_folds, split
+from knotwork.llm.splits import COUNTRIES, broken_by_folds, split
 from knotwork.llm.top_n import top_n
 from knotwork.llm.truncated import truncated, truncation_rates
 from knotwork.plans.core_queries import SQL as CORE_SQL
@@ -91,7 +91,26 @@ labels(id, label) using key (id) as (
   union
   select e.b, min(w.label) from labels w join edges e on e.a = w.id join recurring.labels r on r.id = e.b where w.label < r.label group by e.b)"""
 
+#: Entities of ``train_folds`` in their usual form with the smallest entity related to them.
+_RELATED = f"""
+v as (
+  select 'e:' || upper(regexp_replace(source1_entity_id, '^\\s+|\\s+$', '', 'g')) as e, 'm:' || upper(regexp_extract(matched_value, '^\\s*([^\\s,;|/()]+)', 1)) as m from ({P7_SQL}) where source1_entity_id is not null),
+f as (select * from (select upper(regexp_replace(entity_id, '^\\s+|\\s+$', '', 'g')) as id, fold_id, country from train_folds) where id <> ''),
+edges as (select e as a, m as b from v union select m, e from v), nodes as (select e as id from v union select m from v union select 'e:' || id from f),
+{_LABELS},
+rows_ as (select f.id, fold_id, country, label from f join labels l on l.id = 'e:' || f.id)"""
+
+_COUNTRY = "case " + " ".join(
+    f"when regexp_replace(upper(country), '[^A-Z]', '', 'g') in ({', '.join(repr(x.replace(' ', '')) for x in forms)}) then '{name}'" for name, forms in COUNTRIES.items()
+) + " when trim(regexp_replace(coalesce(country, ''), '[.\\s]+', ' ', 'g')) = '' then null else upper(trim(regexp_replace(country, '[.\\s]+', ' ', 'g'))) end"
+
 SQL = {
+    "p6_split": f"""
+with recursive {_RELATED},
+one as (select id as entity_id, label[3:] as component, min({_COUNTRY}) as c from rows_ group by all),
+size as (select component, count(*) as n, coalesce(min(c), 'unknown') as country from one group by component),
+placed as (select *, (sum(n) over (partition by country order by md5('0|' || component), component) - n / 2) / sum(n) over (partition by country) as middle from size)
+select entity_id, component, country, case when middle < 0.8 then 'train' when middle < 0.9 then 'validation' else 'test' end as part from one join placed using (component)""",
     "p2_found": f"""
 with recursive nodes as (
   select distinct unnest([source1_entity_id, target_entity_id]) as id from candidate_schema),
@@ -101,12 +120,7 @@ edges as (
 {_LABELS.replace('from nodes', 'from nodes where id is not null')}
 select id as record_id, label as group_id from labels""",
     "p6_found": f"""
-with recursive v as (
-  select 'e:' || upper(trim(source1_entity_id)) as e, 'm:' || upper(regexp_extract(matched_value, '^\\s*([^\\s,;|/()]+)', 1)) as m from ({P7_SQL}) where source1_entity_id is not null),
-f as (select upper(trim(entity_id)) as id, fold_id from train_folds where trim(entity_id) <> ''),
-edges as (select e as a, m as b from v union select m, e from v), nodes as (select e as id from v union select m from v union select 'e:' || id from f),
-{_LABELS},
-rows_ as (select f.id, fold_id, label from f join labels l on l.id = 'e:' || f.id)
+with recursive {_RELATED}
 select distinct id as entity_id from rows_ where label in (select label from rows_ group by label having count(distinct fold_id) > 1)""",
     "p4_found": """
 with once as (

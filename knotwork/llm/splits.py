@@ -84,13 +84,14 @@ def entity_id(c) -> F.Column:
 def relations(spark: SparkSession, matches: DataFrame, left: str, packed: str, scratch: Scratch) -> DataFrame:
     """(id, component) of the entities of ``matches`` that share an id packed in ``packed``, directly or through others.
 
-    Of a value with a remark the leading id counts.
+    Of a value with a remark the leading id counts. A component is named by its smallest entity.
     """
     values = unpack(matches, packed, [left])
     m = values.select(entity_id(F.col(f"`{left}`")).alias("e"), entity_id(F.regexp_extract("matched_value", r"^\s*([^\s,;|/()]+)", 1)).alias("v"))
     links = m.where("e is not null and v is not null").select(F.concat(F.lit("e:"), "e").alias("a"), F.concat(F.lit("m:"), "v").alias("b"))
-    found = components(spark, links, scratch)
-    return found.where(F.col("id").startswith("e:")).select(F.substring("id", 3, 1_000_000).alias("id"), "component")
+    found = scratch.cut(components(spark, links, scratch).where(F.col("id").startswith("e:")).withColumn("id", F.expr("substring(id, 3)")))
+    least = found.groupBy(F.col("component").alias("of")).agg(F.min("id").alias("least"))
+    return lookup_join(found, "component", least, "of", "least", "least").select("id", F.col("least").alias("component"))
 
 
 def grouped(spark: SparkSession, records: DataFrame, matches: DataFrame, scratch: Scratch) -> DataFrame:
@@ -98,7 +99,7 @@ def grouped(spark: SparkSession, records: DataFrame, matches: DataFrame, scratch
     rel = relations(spark, matches, "source1_entity_id", "matched_entity_ids", scratch)
     rows = records.select(entity_id(F.col("entity_id")).alias("entity_id"), canonical_country(F.col("country")).alias("country"), F.col("fold_id")).where("entity_id is not null")
     rows = lookup_join(rows, "entity_id", rel, "id", "component", "found", keep=True)
-    return rows.select("entity_id", "country", "fold_id", F.coalesce("found", F.concat(F.lit("e:"), "entity_id")).alias("component"))
+    return rows.select("entity_id", "country", "fold_id", F.coalesce("found", "entity_id").alias("component"))
 
 
 def broken_by_folds(spark: SparkSession, records: DataFrame, matches: DataFrame) -> DataFrame:
@@ -128,7 +129,7 @@ def split(spark: SparkSession, records: DataFrame, matches: DataFrame, parts: di
     rows = scratch.cut(grouped(spark, records, matches, scratch))
     one = rows.groupBy("entity_id", "component").agg(F.min(F.when(F.col("country") != "unknown", F.col("country"))).alias("c"))
     size = one.groupBy("component").agg(F.count("*").alias("n"), F.coalesce(F.min("c"), F.lit("unknown")).alias("country"))
-    size = size.withColumn("h", F.xxhash64(F.lit(seed), "component")).withColumn("range", F.shiftrightunsigned("h", 52))
+    size = size.withColumn("h", F.md5(F.concat_ws("|", F.lit(str(seed)), "component"))).withColumn("range", F.substring("h", 1, 3))
     ranges = size.groupBy("country", "range").agg(F.sum("n").alias("in_range"))
     by = Window.partitionBy("country").orderBy("range")  # at most 4096 rows a country
     ranges = ranges.select("country", "range", (F.sum("in_range").over(by) - F.col("in_range")).alias("before"), F.sum("in_range").over(Window.partitionBy("country")).alias("all"))
