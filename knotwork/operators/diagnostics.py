@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from knotwork.functions.normalize import char_grams
+from knotwork.functions.pairs import weighted_ratio
 from knotwork.operators.metrics import entity_scores
+from knotwork.operators.sampling import random_sample
 
 # Cut-offs of the recall curve.
 CUTS = (5, 10, 15, 20, 25, 30, 35, 40, 50, 60, 75, 100, 150)
@@ -100,6 +105,43 @@ def coverage(joined: DataFrame, by: str = "country") -> DataFrame:
     return joined.groupBy(F.coalesce(F.col(f"l.{by}"), F.lit("unknown")).alias(by)).agg(F.count("*").alias("pairs"), *[F.count_if(v).alias(k) for k, v in signals().items()])
 
 
+@F.pandas_udf(T.DoubleType())
+def weighted_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The weighted edit similarity of two texts, 0 to 100."""
+    return pd.Series(weighted_ratio(a.fillna("").tolist(), b.fillna("").tolist()), dtype="float64")
+
+
+def profile(joined: DataFrame, alike: bool = False) -> DataFrame:
+    """(country, pairs, signals, and combinations of signals) of joined pairs: how many pairs have each, by the left side's country.
+
+    ``alike`` adds the pairs whose weighted edit similarity is 80 or more, which Python computes.
+    """
+    l, r = (lambda f: F.col(f"l.{f}")), (lambda f: F.col(f"r.{f}"))
+    same = lambda f: F.coalesce((l(f) == r(f)) & (l(f) != ""), F.lit(False))
+    overlap = lambda f: F.coalesce(F.arrays_overlap(l(f), r(f)), F.lit(False))
+    common, all_ = F.size(F.array_intersect(l("name_tokens"), r("name_tokens"))), F.size(F.array_union(l("name_tokens"), r("name_tokens")))
+    grams = F.size(F.array_intersect(char_grams(l("name_clean"), 3), char_grams(r("name_clean"), 3)))
+    one = {
+        "exact_name": same("name_clean"), "token": overlap("name_tokens"), "half_of_tokens": F.coalesce((all_ > 0) & (common >= all_ * 0.5), F.lit(False)),
+        "place": overlap("addr_tokens"), "postal": same("postal_clean"), "sound": same("name_phonetic"), "two_trigrams": F.coalesce(grams >= 2, F.lit(False)),
+    }
+    if alike:
+        one["alike"] = weighted_similarity(l("name_clean"), r("name_clean")) >= 80
+    has = joined.select(F.coalesce(l("country"), F.lit("unknown")).alias("country"), *[v.alias(k) for k, v in one.items()])
+    some = {
+        "exact_or_token": "exact_name or token", "exact_token_or_place": "exact_name or token or place", "token_and_postal": "token and postal", "token_and_place": "token and place",
+        "sound_or_token": "sound or token", "trigrams_or_token": "two_trigrams or token", "any_key": "exact_name or token or place or postal or sound",
+    }
+    return has.groupBy("country").agg(F.count("*").alias("pairs"), *[F.count_if(F.col(k)).alias(k) for k in one], *[F.count_if(F.expr(v)).alias(k) for k, v in some.items()])
+
+
+def samples(joined: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:
+    """``n`` of the joined pairs by lot, with names and addresses of both ends and whether nothing links them."""
+    some = random_sample(joined.withColumn("_id", F.concat_ws("|", "s1", "tgt")), n, "_id", seed)
+    texts = [F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "lr" for c in ("name_clean", "addr_clean", "postal_clean")]
+    return some.select("s1", "tgt", *texts, (~signals()["any"]).alias("nothing_shared"))
+
+
 def collisions(entities: DataFrame, columns: list[str], top: int = 10) -> DataFrame:
     """(column, rows, distinct_values, largest, top_share) of non-empty values; top_share: share of the ``top`` values."""
     long = entities.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in columns])).alias("r")).select("r.*").where("v <> ''")
@@ -152,11 +194,15 @@ def quality(rows: DataFrame, features: list[str], label: str = "label") -> DataF
     )
 
 
-def miss_forensics(misses: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """(s1, tgt, shared_name_tokens, shared_addr_tokens, same_country, edits) of missed pairs; edits of the cleaned names."""
+def miss_forensics(misses: DataFrame, left: DataFrame, right: DataFrame, alike: bool = False) -> DataFrame:
+    """(s1, tgt, shared_name_tokens, shared_addr_tokens, same_country, edits) of missed pairs; edits of the cleaned names.
+
+    ``alike`` adds their weighted edit similarity, which Python computes.
+    """
+    more = [weighted_similarity("l.name_clean", "r.name_clean").alias("alike")] if alike else []
     p = pair_records(misses, left, right)
     shared = lambda f: F.size(F.array_intersect(F.col(f"l.{f}"), F.col(f"r.{f}")))
     return p.select(
         "s1", "tgt", shared("name_tokens").alias("shared_name_tokens"), shared("addr_tokens").alias("shared_addr_tokens"),
-        F.coalesce(F.col("l.country") == F.col("r.country"), F.lit(False)).alias("same_country"), F.levenshtein("l.name_clean", "r.name_clean").alias("edits"),
+        F.coalesce(F.col("l.country") == F.col("r.country"), F.lit(False)).alias("same_country"), F.levenshtein("l.name_clean", "r.name_clean").alias("edits"), *more,
     )

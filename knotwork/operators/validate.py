@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +41,21 @@ def violations(results: DataFrame, candidates: DataFrame | None, required: DataF
 def malformed_lines(lines: DataFrame, header: str) -> DataFrame:
     """(value) of text lines without exactly one tab; the header line is none of them."""
     return lines.where((F.col("value") != header) & (F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit(""))) != 1))
+
+
+def unlike_count(results: DataFrame, expected: int) -> DataFrame:
+    """One row (rule, id, value) as of ``violations`` if ``results`` hasn't ``expected`` rows, none if it has."""
+    n = results.agg(F.count("*").alias("n")).where(F.col("n") != expected)
+    return n.select(F.lit("number of rows").alias("rule"), F.lit(None).cast("string").alias("id"), F.concat_ws(" instead of ", "n", F.lit(str(expected))).alias("value"))
+
+
+#: What a result table looks like.
+CONTRACT = {
+    "id_column": "source1_entity_id", "matched_column": "matched_entity_ids", "candidate_column": "candidate_entity_ids", "separator": "\t", "list_separator": ",",
+    "header": "source1_entity_id\tmatched_entity_ids", "target_prefixes": ["S2-", "S3-"], "query_prefix": "S1-", "one_row_per_query_entity": True, "empty_list_allowed": True,
+}
+
+
+def contract() -> str:
+    """The contract of result tables as JSON text."""
+    return json.dumps(CONTRACT, sort_keys=True, indent=2)

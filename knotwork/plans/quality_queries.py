@@ -182,6 +182,10 @@ def signal_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.coverage(D.pair_records(_truth(spark, sf_dir), queries_side(spark, sf_dir), targets_side(spark, sf_dir)))
 
 
+def signal_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.profile(D.pair_records(_truth(spark, sf_dir), queries_side(spark, sf_dir), targets_side(spark, sf_dir)))
+
+
 def key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = N.clean_entities(raw(spark, sf_dir, *SOURCES))
     return D.collisions(e, ["name_clean", "name_core", "name_acronym", "name_phonetic", "postal_clean"]).withColumn("top_share", F.round("top_share", 9))
@@ -203,7 +207,7 @@ QUERIES = {
     for f in (
         ground_truth_pairs, ranked_candidates, entity_scores, macro_scores, threshold_sweep, country_thresholds, source_thresholds, margin_filter,
         contradiction_gate, classifier_disagreement, blend_sweep, recall_curve, recall_by_country, ceiling, error_records, error_counts,
-        channel_attribution, blocking_misses, signal_coverage, key_collisions, feature_quality,
+        channel_attribution, blocking_misses, signal_coverage, signal_profile, key_collisions, feature_quality,
     )
 }
 
@@ -357,6 +361,19 @@ select country, count(*) as pairs, {', '.join(f'count(*) filter ({k}) as {k}' fo
        count(*) filter (name_exact or core_exact or name_token or addr_token or acronym and postal or phonetic and postal) as captured,
        count(*) filter (name_token or postal) as name_or_postal, count(*) filter (name_token or addr_token) as name_or_addr,
        count(*) filter ({' or '.join(_SIGNALS)}) as any from s group by country""",
+    "signal_profile": f"""
+with {sides()}, {TRUTH},
+s as (
+  select coalesce(l.country, 'unknown') as country, l.name_clean = r.name_clean and l.name_clean <> '' as exact_name, list_has_any(l.name_tokens, r.name_tokens) as token,
+         len(list_distinct(l.name_tokens || r.name_tokens)) > 0 and len(list_intersect(l.name_tokens, r.name_tokens)) >= 0.5 * len(list_distinct(l.name_tokens || r.name_tokens)) as half_of_tokens,
+         list_has_any(l.addr_tokens, r.addr_tokens) as place, l.postal_clean = r.postal_clean and l.postal_clean <> '' as postal, l.name_phonetic = r.name_phonetic and l.name_phonetic <> '' as sound,
+         len(list_intersect({S.char_grams('l.name_clean', 3)}, {S.char_grams('r.name_clean', 3)})) >= 2 as two_trigrams
+  from truth t join l on l.entity_id = t.s1 join r on r.entity_id = t.tgt)
+select country, count(*) as pairs, {', '.join(f'count(*) filter ({k}) as {k}' for k in ('exact_name', 'token', 'half_of_tokens', 'place', 'postal', 'sound', 'two_trigrams'))},
+       count(*) filter (exact_name or token) as exact_or_token, count(*) filter (exact_name or token or place) as exact_token_or_place, count(*) filter (token and postal) as token_and_postal,
+       count(*) filter (token and place) as token_and_place, count(*) filter (sound or token) as sound_or_token, count(*) filter (two_trigrams or token) as trigrams_or_token,
+       count(*) filter (exact_name or token or place or postal or sound) as any_key
+from s group by country""",
     "key_collisions": f"with {S.clean_entities(ALL_SOURCES)} "
     + " union all ".join(
         f"select '{c}' as column, cast(sum(n) as bigint) as rows, count(*) as distinct_values, max(n) as largest, round(cast(sum(n) filter (k <= 10) as bigint) / cast(sum(n) as bigint), 9) as top_share"
