@@ -20,7 +20,7 @@ from knotwork.plans import sql as S
 from knotwork.plans.core_queries import UNPACKED
 from knotwork.plans.blocking_queries import _once, idf_of, queries_side, sides, targets_side
 from knotwork.plans.quality_queries import CAND, SCORED, TRUTH
-from knotwork.session import table
+from knotwork.session import Scratch, table
 from knotwork.sources.tables import packed_lists
 
 
@@ -53,6 +53,12 @@ def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir, False)
 
 
+def edit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those of the edit similarities that SQL can say."""
+    out = _features(spark, sf_dir, False)
+    return out.select("source1_entity_id", "target_entity_id", *[F.round(c, 6).alias(c) for c in (*EDITS, *WINKLER)])
+
+
 def holdout_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.holdout(table(spark, sf_dir, "top50_train_source1").select("entity_id", "country"), "country", 0.1)
 
@@ -127,7 +133,7 @@ def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.join(known.select(F.col("s1").alias("source1_entity_id")), "source1_entity_id", "left_semi")
     t = targets_side(spark, sf_dir)
     idf = idf_of(t)
-    f = P.disjoint_split(X.pair_features(rows, X.prepare(queries_side(spark, sf_dir), idf), X.prepare(t, idf)), "source1_entity_id").cache()
+    f = Scratch(spark).cut(P.disjoint_split(X.pair_features(rows, X.prepare(queries_side(spark, sf_dir), idf), X.prepare(t, idf)), "source1_entity_id"))
     train = P.hard_negatives(f.where("part = 'train'"))
     names = X.feature_names()
     one, two = model.train(train, names), model.train(train, names, "forest")
@@ -141,7 +147,7 @@ def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (candidate_rows, plain_features, pair_features, holdout_entities, fold_table, labelled_candidates, hard_negatives, entity_split, matched_lists, result_violations, random_sample, french_set, blocking_union, union_pairs, union_recall, miss_forensics, trained_scores)
+    for f in (candidate_rows, plain_features, pair_features, edit_features, holdout_entities, fold_table, labelled_candidates, hard_negatives, entity_split, matched_lists, result_violations, random_sample, french_set, blocking_union, union_pairs, union_recall, miss_forensics, trained_scores)
 }
 
 ROWS = """
@@ -163,6 +169,43 @@ def _prepared(side: str) -> str:
                {S.words('addr_digits')} as ds from {side}))"""
 
 
+def _pair_rows() -> str:
+    """CTEs up to ``p``: candidate rows with the prepared entities of both ends, columns ``l_`` and ``r_``."""
+    columns = ["country", "name_clean", "name_core", "legal_form", "name_acronym", "name_phonetic", "addr_clean", "postal_clean", "addr_unit_num", "nt", "at_", "ds", "cat", "g3", "g4", "skeleton", "loc", "land"]
+    empty = {"country": "{}", "legal_form": "coalesce({}, 'NONE')"}
+    take = lambda s: ", ".join(empty.get(c, "coalesce({}, [])" if c in ("nt", "at_", "ds", "g3", "g4", "loc", "land") else "coalesce({}, '')").format(f"{s}p.{c}") + f" as {s}_{c}" for c in columns)
+    return f"""{sides()}, {_prepared('l')}, {_prepared('r')}, {ROWS},
+p as materialized (select rows_.*, {take('l')}, {take('r')} from rows_ left join lp on lp.entity_id = source1_entity_id left join rp on rp.entity_id = target_entity_id)"""
+
+
+#: Edit similarities of one text of both ends each: the feature, its text and whether it is Jaro-Winkler.
+EDITS = {
+    "name_clean_fuzz_ratio": "{}_name_clean", "name_core_fuzz_ratio": "{}_name_core", "name_first_token_similarity": "coalesce({}_nt[1], '')", "name_last_token_similarity": "coalesce({}_nt[-1], '')",
+    "phonetic_similarity": "{}_name_phonetic", "name_consonant_skeleton_sim": "{}_skeleton", "addr_clean_fuzz_ratio": "{}_addr_clean",
+    "name_clean_token_sort_ratio": "array_to_string(list_sort(list_filter(string_split({}_name_clean, ' '), lambda w: w <> '')), ' ')",
+}
+WINKLER = {"name_clean_jaro_winkler": "name_clean", "name_core_jaro_winkler": "name_core"}
+
+
+def _edit_sql() -> str:
+    """Common subsequences by the bits of a whole number: one step for each letter of one text, over all places of the other."""
+    texts = ", ".join(f"{v.format(s)} as {s}{i}" for i, v in enumerate(EDITS.values()) for s in "lr")
+    long = " union all ".join(f"select source1_entity_id, target_entity_id, '{k}' as f, l{i} as a, r{i} as b from t" for i, k in enumerate(EDITS))
+    mask = "coalesce(list_sum(list_transform(range(0, n), lambda i: case when b[i + 1] = c then cast(1 as hugeint) << cast(i as integer) else cast(0 as hugeint) end)), 0)"
+    return f"""
+with {_pair_rows()},
+t as (select source1_entity_id, target_entity_id, {texts} from p),
+long as (select *, length(b) as n, (cast(1 as hugeint) << length(b)) - 1 as full_ from ({long}) where a <> '' and b <> ''),
+v as (
+  select source1_entity_id, target_entity_id, f, length(a) as m, n,
+         list_reduce(list_prepend(full_, list_transform(string_split(a, ''), lambda c: cast({mask} as hugeint))), lambda v, x: ((v + (v & x)) | (v - (v & x))) & full_) as v from long),
+ratios as (select source1_entity_id, target_entity_id, f, 2 * (n - bit_count(v)) / (m + n) as x from v),
+w as (select source1_entity_id, target_entity_id, {', '.join(f"coalesce(max(x) filter (f = '{k}'), 0) as {k}" for k in EDITS)} from ratios group by all)
+select source1_entity_id, target_entity_id, {', '.join(f'round(coalesce({k}, 0.0), 6) as {k}' for k in EDITS)},
+       {', '.join(f"round(case when l_{c} <> '' and r_{c} <> '' then jaro_winkler_similarity(l_{c}, r_{c}) else 0.0 end, 6) as {k}" for k, c in WINKLER.items())}
+from p left join w using (source1_entity_id, target_entity_id)"""
+
+
 def _plain_sql() -> str:
     l, r = (lambda c: f"l_{c}"), (lambda c: f"r_{c}")
     given = lambda c: f"({l(c)} <> '' and {r(c)} <> '')"
@@ -210,13 +253,9 @@ def _plain_sql() -> str:
         union all select source1_entity_id, target_entity_id, r_country, unnest(list_distinct(r_{column})), false, true from p) x
       left join idf i on i.country = x.c and i.field = '{field}' and i.token = x.token)
     group by s, t, token) group by s, t)"""
-    columns = ["country", "name_clean", "name_core", "legal_form", "name_acronym", "name_phonetic", "addr_clean", "postal_clean", "addr_unit_num", "nt", "at_", "ds", "cat", "g3", "g4", "skeleton", "loc", "land"]
-    empty = {"country": "{}", "legal_form": "coalesce({}, 'NONE')"}
-    take = lambda s: ", ".join(empty.get(c, "coalesce({}, [])" if c in ("nt", "at_", "ds", "g3", "g4", "loc", "land") else "coalesce({}, '')").format(f"{s}p.{c}") + f" as {s}_{c}" for c in columns)
     rounded = ", ".join(f"round(cast({v} as double), 6) as {k}" for k, v in f.items())
     return f"""
-with {sides()}, {_prepared('l')}, {_prepared('r')}, {ROWS},
-p as materialized (select rows_.*, {take('l')}, {take('r')} from rows_ left join lp on lp.entity_id = source1_entity_id left join rp on rp.entity_id = target_entity_id),
+with {_pair_rows()},
 {weighted('name', 'nt')}, {weighted('addr', 'at_')}
 select source1_entity_id, target_entity_id, {rounded},
        round(case when n.all_ > 0 then coalesce(n.both_, 0) / n.all_ else 0 end, 6) as name_idf_weighted_overlap,
@@ -260,6 +299,7 @@ select s1, tgt, cast(len(list_intersect(l.name_tokens, r.name_tokens)) as intege
 from (select * from truth anti join cand using (s1, tgt)) m join l on l.entity_id = m.s1 join r on r.entity_id = m.tgt""",
     "candidate_rows": f"with {ROWS} select * from rows_",
     "plain_features": _plain_sql(),
+    "edit_features": _edit_sql(),
     "holdout_entities": """
 select entity_id, country from (
   select entity_id, country, row_number() over (partition by country order by md5('42|' || entity_id), entity_id) as k, count(*) over (partition by country) as n from top50_train_source1)
