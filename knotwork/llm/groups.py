@@ -15,6 +15,8 @@ the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,17 +61,22 @@ def labels_of(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFr
     if not rounds:
         kind = edges.schema["a"].dataType.simpleString()
         return spark.createDataFrame([], f"id {kind}, label {kind}")
-    final = rounds.pop()
-    while rounds:
+    # hot labels of all rounds in one pass
+    places = range(len(rounds))
+    side_by_side = [r.select(*[(F.col("label") if i == k else F.lit(None).cast(r.schema["label"].dataType)).alias(f"l{k}") for k in places]) for i, r in enumerate(rounds)]
+    hot = hot_keys(reduce(DataFrame.unionByName, side_by_side), *[f"l{k}" for k in places])[1]
+    final, whole = rounds[-1], True
+    for k in reversed(places[:-1]):
         # a label that is no end of a later edge has reached its group's label
-        earlier = rounds.pop()
-        composed = lookup_join(earlier, "label", final.withColumnRenamed("label", "top"), "id", "top", "top", keep=True)
-        composed = scratch.cut(composed.select("id", F.coalesce("top", "label").alias("label")))
-        scratch.drop(earlier, final)
-        final = composed
+        if hot[f"l{k}"] and not whole:  # it is read twice
+            final, whole = scratch.cut(final), True
+        found = lookups(rounds[k], Lookup("label", final.withColumnRenamed("label", "top"), "id", "top", "top", keep=True), hot={"label": hot[f"l{k}"]})
+        final, whole = found.select("id", F.coalesce("top", "label").alias("label")), False
+    if not whole:
+        final = scratch.cut(final)
     least = final.groupBy("label").agg(F.least(F.min("id"), F.col("label")).alias("least"))
     named = scratch.cut(lookup_join(final, "label", least.withColumnRenamed("label", "of"), "of", "least", "least").select("id", F.col("least").alias("label")))
-    scratch.drop(final)
+    scratch.drop(final, *rounds)
     return named
 
 
