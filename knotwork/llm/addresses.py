@@ -304,10 +304,15 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, address_column:
     rows = scratch.cut(rows.where("r.house is not null").select("address", "first", "r.*"))
     nodes = rows.groupBy(*fields).agg(F.min("first").alias("rep"))
     nodes = scratch.cut(nodes.withColumn("node", F.concat_ws("\x01", "rep", F.lower(F.hex(F.xxhash64(*fields))))))
-    keyed = nodes.select("node", F.struct(*fields).alias("r"), F.explode(place_keys("house", "street", "town", "state", "postal")).alias("key"))
+    keyed = nodes.withColumn("ks", place_keys("house", "street", "town", "state", "postal"))
+    firm = F.transform(F.filter("ks", lambda k: ~k.startswith("S|")), lambda k: F.xxhash64(k))
+    keyed = scratch.cut(keyed.withColumn("firm", firm).select("node", F.struct(*fields, "firm").alias("r"), F.explode("ks").alias("key")))
     pairs = keyed.toDF("na", "ra", "key").join(keyed.toDF("nb", "rb", "key"), "key").where("na < nb")
-    # a weak key only serves pairs of which one side lacks town or postal code
-    pairs = pairs.where(~F.col("key").startswith("S|") | (F.col("ra.town") == "") | (F.col("rb.town") == ""))
+    # a pair is compared under one key only: of those that both have the one of the smallest digest;
+    # a weak key only serves pairs without another, of which one side lacks the town
+    weak = ((F.col("ra.town") == "") | (F.col("rb.town") == "")) & ~F.arrays_overlap("ra.firm", "rb.firm")
+    pairs = pairs.where(F.when(F.col("key").startswith("S|"), weak).otherwise(F.array_min(F.array_intersect("ra.firm", "rb.firm")) == F.xxhash64("key")))
+    pairs = pairs.withColumns({c: F.col(c).dropFields("firm") for c in ("ra", "rb")})
     pairs = pairs.where("ra.kind = rb.kind or ra.kind = '' or rb.kind = ''").where(F.levenshtein("ra.street", "rb.street", 6) >= 0)
     graded = scratch.cut(pairs.select("na", "nb", same_place("ra", "rb").alias("g")).where("g > 0").distinct())
     strong = graded.where("g = 2").select(F.col("na").alias("a"), F.col("nb").alias("b"))

@@ -528,11 +528,18 @@ def classes(spark: SparkSession, df: DataFrame, id_column: str, name_column: str
     reps = scratch.cut(read_rows.groupBy(*fields).agg(F.min("first").alias("rep")))
     # two readings may share their first id when it was delivered twice with other names
     reps = reps.withColumn("node", F.concat_ws("\x01", "rep", F.lower(F.hex(F.xxhash64(*fields)))))
-    keyed = reps.select("node", F.struct(*fields, letter_forms("families", "joined").alias("forms")).alias("r"), F.explode(blocking_keys("given", "families", "trade", "number", "joined")).alias("key"))
-    full, initial = keyed.where("key not like 'I%'"), keyed.where("key like 'I%'")
-    pairs = full.toDF("na", "ra", "key").join(full.toDF("nb", "rb", "key"), "key").where("na < nb")
+    # a pair is compared under one key only: of those that both have the one of the smallest digest
+    keyed = reps.select("node", F.struct(*fields, letter_forms("families", "joined").alias("forms")).alias("r"), blocking_keys("given", "families", "trade", "number", "joined").alias("ks"))
+    digests = lambda initial: F.transform(F.filter("ks", lambda k: k.startswith("I") if initial else ~k.startswith("I")), lambda k: F.xxhash64(k))
+    keyed = scratch.cut(keyed.select("node", "r", "ks", digests(False).alias("full"), digests(True).alias("initial")))
+    once = lambda x, y: F.array_min(F.array_intersect(x, y)) == F.xxhash64("key")
+    full, initial = (keyed.select("node", F.struct("r.*", c).alias("r"), F.explode("ks").alias("key")) for c in ("full", "initial"))
+    full, initial = full.where("key not like 'I%'"), initial.where("key like 'I%'")
+    pairs = full.toDF("na", "ra", "key").join(full.toDF("nb", "rb", "key"), "key").where("na < nb").where(once("ra.full", "rb.full"))
+    pairs = pairs.withColumns({c: F.col(c).dropFields("full") for c in ("ra", "rb")})
     singles = initial.where("r.joined = '' and r.families not like '% %'")
-    pairs = pairs.unionByName(singles.toDF("na", "ra", "key").join(initial.toDF("nb", "rb", "key"), "key").where("na <> nb"))
+    more = singles.toDF("na", "ra", "key").join(initial.toDF("nb", "rb", "key"), "key").where("na <> nb").where(once("ra.initial", "rb.initial"))
+    pairs = pairs.unionByName(more.withColumns({c: F.col(c).dropFields("initial") for c in ("ra", "rb")}))
     pairs = pairs.where(_possible("ra", "rb"))
     good = scratch.cut(pairs.where(same_name("ra", "rb")).select("na", "nb", F.col("ra.trade").alias("ta"), F.col("rb.trade").alias("tb")).distinct())
     firm = labels_of(spark, good.where("ta <> '' and tb <> ''").select(F.col("na").alias("a"), F.col("nb").alias("b")), scratch)
