@@ -298,6 +298,12 @@ select s1, tgt, cast(len(list_intersect(l.name_tokens, r.name_tokens)) as intege
        coalesce(l.country = r.country, false) as same_country, cast(levenshtein(l.name_clean, r.name_clean) as integer) as edits
 from (select * from truth anti join cand using (s1, tgt)) m join l on l.entity_id = m.s1 join r on r.entity_id = m.tgt""",
     "candidate_rows": f"with {ROWS} select * from rows_",
+    "union_recall": f"""
+with {sides()}, {TRUTH},
+u as (select distinct t.s1, t.tgt, coalesce(l.country = r.country and (l.name_clean = r.name_clean and l.name_clean <> '' or list_has_any(l.name_tokens, r.name_tokens) or list_has_any(l.addr_tokens, r.addr_tokens)
+    or l.postal_clean = r.postal_clean and length(l.postal_clean) >= 4), false) as hit
+  from truth t join l on l.entity_id = t.s1 join r on r.entity_id = t.tgt)
+select tgt[1:2] as source, count(*) as true_pairs, count(*) filter (hit) as captured, count(*) filter (hit) / count(*) as recall from u group by 1""",
     "plain_features": _plain_sql(),
     "edit_features": _edit_sql(),
     "holdout_entities": """
