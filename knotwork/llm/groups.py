@@ -47,7 +47,7 @@ def labels_of(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFr
         if not n:
             break
         hubs = hot["a"]
-        rank = lambda c: F.struct(F.xxhash64(F.lit(len(rounds)), c).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
+        rank = lambda c: F.struct(F.xxhash64(F.lit(str(len(rounds))), c).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
         parent = _both_ways(now).groupBy(F.col("a").alias("id")).agg(F.min(rank("b")).alias("m"))
         parent = parent.select("id", F.least(rank("id"), "m")["id"].alias("p"))
         # every id is an end of an edge, so each lookup finds its row
