@@ -12,7 +12,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from knotwork.operators.skew import lookup_join, many_join
+from knotwork.operators import grid
+from knotwork.operators.skew import lookup_join
 
 MILLION = 1_000_000
 
@@ -110,11 +111,11 @@ SUMS = {
 }
 
 
-def summed_blocking(left: DataFrame, right: DataFrame, parts: list[Part], k: int) -> DataFrame:
+def summed_blocking(left: DataFrame, right: DataFrame, parts: list[Part], k: int, least: int = 1) -> DataFrame:
     """(s1, tgt, score, rank): the best ``k`` targets by the sum of the weights of shared keys, ties by target.
 
-    Weights are whole millionths, so sums don't depend on their order. Keys with more targets than stated are not
-    looked up. Both sides go through ``many_join``, which divides long lists.
+    Weights are whole millionths, so sums don't depend on their order; sums below ``least`` don't count. Keys with more
+    targets than stated are not looked up. The pairs that share a key are never rows, see ``grid``.
     """
     kinds = [p.kind for p in parts]
     r = _keyed(right, kinds, "tgt")
@@ -124,17 +125,20 @@ def summed_blocking(left: DataFrame, right: DataFrame, parts: list[Part], k: int
     df = r.groupBy("kk", "stage").agg(F.count("*").alias("df")).where(F.col("df").between(by_stage(lambda p: p.least), by_stage(lambda p: p.most)))
     # a row a country
     df = df.withColumn("country", F.substring_index("kk", "\x01", 1)).join(F.broadcast(n), "country").select("kk", weight.alias("w"))
-    q = lookup_join(_keyed(left, kinds, "s1"), "kk", df.withColumnRenamed("kk", "_wk"), "_wk", "w", "w").select("s1", "stage", "kk", "w")
-    kept = r.join(df.select("kk"), "kk", "left_semi")
-    hits = many_join(q, "kk", kept, "kk", "tgt", "tgt").select("s1", "tgt", "stage", "w")
-    sure = by_stage(lambda p: p.confirmed)
-    out = hits.groupBy("s1", "tgt").agg(F.sum(F.when(~sure, F.col("w"))).alias("plain"), F.sum(F.when(sure, F.col("w"))).alias("if_token"))
-    if any(p.confirmed for p in parts):
-        doubtful = out.where("if_token is not null")
-        words = lambda side, as_: side.select(F.col("entity_id").alias(as_), F.col("name_tokens").alias(f"{as_}_t"))
-        seen = doubtful.join(words(left, "s1"), "s1").join(words(right, "tgt"), "tgt")
-        seen = seen.withColumn("if_token", F.when(F.arrays_overlap("s1_t", "tgt_t"), F.col("if_token"))).select("s1", "tgt", "plain", "if_token")
-        out = out.where("if_token is null").unionByName(seen)
-    out = out.withColumn("w", F.coalesce("plain", F.lit(0)) + F.coalesce("if_token", F.lit(0))).where("w > 0")
-    out = out.withColumn("rank", F.row_number().over(Window.partitionBy("s1").orderBy(F.desc("w"), "tgt"))).where(F.col("rank") <= k)
-    return out.select("s1", "tgt", (F.floor((F.col("w") + 5_000) / 10_000) / 100).alias("score"), "rank")
+    q = lookup_join(_keyed(left, kinds, "s1"), "kk", df.withColumnRenamed("kk", "_wk"), "_wk", "w", "w")
+    hit = F.struct(F.concat_ws(grid.KIND, "stage", "key").alias("key"), "w", by_stage(lambda p: p.confirmed).alias("sure"))
+    q = q.groupBy("s1").agg(F.collect_list(hit).alias("hits"))
+    # words that confirm a hit count whatever their frequency
+    sure = any(p.confirmed for p in parts)
+    kinds += ["token"] * (sure and "token" not in kinds)
+    words = _tagged("token", kinds.index("token") + 1) if sure else F.array().cast("array<string>")
+    q = q.join(left.select(F.col("entity_id").alias("s1"), "country", grid.packed(words).alias("words")), "s1")
+    q = q.select("s1", "country", grid.packed(F.col("hits.key")).alias("keys"), F.col("hits.w").alias("weights"), F.col("hits.sure").alias("sure"), "words")
+    keys = grid.packed(F.flatten(F.array(*[_tagged(x, i) for i, x in enumerate(kinds, 1)])))
+    found = grid.best_by_sum(q, right.where("country is not null").select(F.col("entity_id").alias("tgt"), "country", keys.alias("keys")), k, least)
+    return found.select("s1", "tgt", (F.floor((F.col("w") + 5_000) / 10_000) / 100).alias("score"), "rank")
+
+
+def _tagged(kind: str, stage: int) -> Column:
+    """The keys of a kind with its stage before each."""
+    return F.transform(keys_of(kind), lambda k: F.concat_ws(grid.KIND, F.lit(stage).cast("string"), k))

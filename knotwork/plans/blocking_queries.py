@@ -48,7 +48,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blocking_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = lambda df: df.where("name_clean <> ''")
-    return G.summed_blocking(named(queries_side(spark, sf_dir)), named(targets_side(spark, sf_dir)), *G.SUMS["scored"])
+    return G.summed_blocking(named(queries_side(spark, sf_dir)), named(targets_side(spark, sf_dir)), *G.SUMS["scored"], least=0)
 
 
 def blocking_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
