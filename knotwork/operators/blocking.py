@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from knotwork.functions.normalize import char_grams, without_domain
+from knotwork.operators import grid
 from knotwork.operators.idf import SHORTEST, rarest
 from knotwork.operators.skew import lookup_join
 
@@ -198,20 +199,27 @@ def intersection_blocking(left: DataFrame, right: DataFrame, idf: DataFrame, top
     names = rarest(left, idf, "name", "name_tokens", top).select("entity_id", "country", "token", F.lit("n").alias("f"))
     places = rarest(left, idf, "addr", "addr_tokens", 2).select("entity_id", "country", "token", F.lit("a").alias("f"))
     q = names.unionByName(places).withColumnRenamed("entity_id", "s1").distinct()
-    of = lambda c, f: right.where("country is not null").select("country", F.col("entity_id").alias("tgt"), F.explode(F.array_distinct(c)).alias("token"), F.lit(f).alias("f"))
-    hits = q.join(of("name_tokens", "n").unionByName(of("addr_tokens", "a")), ["country", "token", "f"])
-    two = hits.groupBy("s1", "tgt").agg(F.count("*").alias("shared"), F.count_if(F.col("f") == "n").alias("n")).where("shared >= 2 and n >= 1").drop("n")
-    w = Window.partitionBy("s1").orderBy(F.desc("shared"), "tgt")
-    return two.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def _union_keys(df: DataFrame, out: str) -> DataFrame:
+    hit = F.struct(F.concat_ws(grid.KIND, "f", "token").alias("key"), (F.lit(grid.HIT).cast("long") + F.when(F.col("f") == "n", 1).otherwise(0)).alias("w"))
+    q = q.groupBy("s1", "country").agg(F.collect_list(hit).alias("hits"))
+    sure = F.transform("hits", lambda _: F.lit(False))
+    q = q.select("s1", "country", grid.packed(F.col("hits.key")).alias("keys"), F.col("hits.w").alias("weights"), sure.alias("sure"), F.lit("").alias("words"))
+    of = lambda c, f: F.transform(F.array_distinct(c), lambda t: F.concat_ws(grid.KIND, F.lit(f), t))
+    keys = grid.packed(F.concat(of("name_tokens", "n"), of("addr_tokens", "a")))
+    found = grid.best_by_count(q, right.where("country is not null").select(F.col("entity_id").alias("tgt"), "country", keys.alias("keys")), k, 2)
+    return found.select("s1", "tgt", F.col("w").alias("shared"), "rank")
+
+
+def _union_list() -> Column:
+    """All keys of an entity."""
     tag = lambda t, a: F.transform(a, lambda k: F.concat(F.lit(t), k))
-    keys = F.flatten(F.array(
+    return F.flatten(F.array(
         tag("n:", F.filter(F.array("name_clean"), lambda x: x != "")), tag("t:", F.array_distinct("name_tokens")),
         tag("a:", F.array_distinct("addr_tokens")), tag("p:", F.filter(F.array("postal_clean"), lambda x: F.length(x) >= 4)),
     ))
-    return df.where("country is not null").select("country", F.col("entity_id").alias(out), F.explode(keys).alias("key"))
+
+
+def _union_keys(df: DataFrame, out: str) -> DataFrame:
+    return df.where("country is not null").select("country", F.col("entity_id").alias(out), F.explode(_union_list()).alias("key"))
 
 
 def union_blocking(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -222,6 +230,12 @@ def union_blocking(left: DataFrame, right: DataFrame) -> DataFrame:
     return _union_keys(left, "s1").join(_union_keys(right, "tgt"), ["country", "key"]).groupBy("s1", "tgt").agg(F.count("*").alias("shared"))
 
 
+def union_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(shared, count): the pairs that ``union_blocking`` gives, counted by ``shared`` without making them."""
+    side = lambda df, out: df.where("country is not null").select(F.col("entity_id").alias(out), "country", grid.packed(_union_list()).alias("keys"))
+    return grid.counts_by_shared(side(left, "s1"), side(right, "tgt"))
+
+
 def union_recall(left: DataFrame, right: DataFrame, truth: DataFrame) -> DataFrame:
     """(source, true_pairs, captured, recall) of the true pairs of delivered entities that ``union_blocking`` gives.
 

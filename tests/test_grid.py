@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 
+from knotwork.operators import blocking as B
 from knotwork.operators import grid
 from knotwork.operators import staged as G
 
@@ -68,3 +69,20 @@ def test_scored_has_no_rows_of_pairs_and_keeps_sums_of_nothing(spark):
     df = G.summed_blocking(l, r, *G.SUMS["scored"], least=0)
     assert "_list" not in plan(df) and "CoGroup" in plan(df)
     assert [tuple(x) for x in df.collect()] == [("a", "t", 0.0, 1)]  # ln(1 / 1), which the SQL counts
+
+
+def test_intersection_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(grid, "TARGETS", 30)
+    entity = lambda i, c, t, p: (f"{c}{i:03}", "X", " ".join(t), t, p, "")
+    side = lambda c, n: [entity(i, c, ["common" + "ab"[i % 2], f"word{i % 9}"], [f"town{i % 5}", "road"]) for i in range(n)]
+    left, right = side("l", 40), side("r", 90)
+    l, r = spark.createDataFrame(left, ENTITIES), spark.createDataFrame(right, ENTITIES)
+    idf = spark.createDataFrame([("X", f, t, 1.0 + len(t)) for f, t in [("name", f"word{i}") for i in range(9)] + [("addr", f"town{i}") for i in range(5)]], "country string, field string, token string, idf double")
+    df = B.intersection_blocking(l, r, idf, top=2, k=6)
+    assert "CoGroup" in plan(df)
+    want = {}
+    for s in left:
+        shared = [(len(set(s[3]) & set(t[3])), len(set(s[4]) & set(t[4])), t[0]) for t in right]
+        found = sorted((-(n + p), t) for n, p, t in shared if n and n + p >= 2)
+        want |= {(s[0], t): (-w, i) for i, (w, t) in enumerate(found[:6], 1)}
+    assert {(x.s1, x.tgt): (x.shared, x["rank"]) for x in df.collect()} == want
