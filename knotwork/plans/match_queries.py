@@ -104,8 +104,8 @@ def french_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blocking_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All shared keys of the query entities with source 2, counted by how much is shared."""
-    r = N.clean_entities(B.deliveries_once(table(spark, sf_dir, "top50_train_source2")))
-    return B.union_blocking(queries_side(spark, sf_dir), r).groupBy("shared").count()
+    r = Scratch(spark).cut(N.clean_entities(B.deliveries_once(table(spark, sf_dir, "top50_train_source2"))))
+    return B.union_counts(queries_side(spark, sf_dir), r)
 
 
 def union_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

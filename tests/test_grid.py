@@ -86,3 +86,17 @@ def test_intersection_over_blocks(spark, monkeypatch):
         found = sorted((-(n + p), t) for n, p, t in shared if n and n + p >= 2)
         want |= {(s[0], t): (-w, i) for i, (w, t) in enumerate(found[:6], 1)}
     assert {(x.s1, x.tgt): (x.shared, x["rank"]) for x in df.collect()} == want
+
+
+def test_union_counted_without_pairs(spark, monkeypatch):
+    monkeypatch.setattr(grid, "ENTITIES", 50)
+    monkeypatch.setattr(grid, "TARGETS", 200)
+    monkeypatch.setattr(grid, "DENSE", 8)  # some keys as bits, some as lists
+    side = lambda c, n: [(f"{c}{i}", "X", "same" * (i % 3 == 0), [f"a{i % 2}", f"b{i % 3}", f"c{i % 50}"], [f"d{i % 4}", f"e{i % 70}", "f"] * (i % 5 > 0), str(1000 + i % 60) * (i % 7 > 0)) for i in range(n)]
+    left, right = side("l", 130) + [("bare", "X", "", [], [], "")], side("r", 333) + [("none", "X", "", [], [], "")]
+    l, r = spark.createDataFrame(left, ENTITIES), spark.createDataFrame(right, ENTITIES)
+    df = B.union_counts(l, r)
+    assert "Join Inner" not in plan(df).split("CoGroup")[0] and "CoGroup" in plan(df)
+    keys = lambda x: {("n", x[2])} - {("n", "")} | {("t", t) for t in x[3]} | {("a", t) for t in x[4]} | ({("p", x[5])} if x[5] else set())
+    want = Counter(n for s in left for t in right if (n := len(keys(s) & keys(t))))
+    assert {x["shared"]: x["count"] for x in df.collect()} == want
