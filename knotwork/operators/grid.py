@@ -8,6 +8,7 @@ targets of each entity in the block, or a count. The shuffle has each side once
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from knotwork.session import Scratch
 
 #: Entities and targets of a block.
-ENTITIES, TARGETS = 40_000, 300_000
+ENTITIES, TARGETS = 60_000, 750_000
+#: Targets whose keys are split at once.
+CHUNK = 50_000
 #: Between keys of one entity, and between the kind of a key and the key; cleaned text has neither.
 BETWEEN, KIND = "\x02", "\x01"
 #: A list is kept as bits if more than one in so many targets of the block is in it.
@@ -34,21 +37,31 @@ def packed(keys: Column) -> Column:
     return F.concat_ws(BETWEEN, keys)
 
 
-def met(left: DataFrame, right: DataFrame, one: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``one`` of every pair of blocks of ``left`` (s1, country, ...) and ``right`` (tgt, country, ...) of one country."""
+def met(left: DataFrame, right: DataFrame, one: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """``one`` of every pair of blocks of ``left`` (s1, country, ...) and ``right`` (tgt, country, ...) of one country.
+
+    First for the countries whose targets are one block, so that each entity is met once, then for the others; None where there are none.
+    """
     left = Scratch(left.sparkSession).cut(left)
     size = lambda df, most, out: df.groupBy("country").agg(F.ceil(F.count("*") / most).cast("int").alias(out))
     # a row a country
     blocks = size(left, ENTITIES, "na").join(size(right, TARGETS, "nb"), "country")
-    cells = blocks.agg(F.sum(F.col("na").cast("long") * F.col("nb"))).first()[0] or 1
-    # several places a cell, since a hash puts some cells at one place
-    places = int(min(4 * cells, 10_000))
+    n = F.col("na").cast("long") * F.col("nb")
+    cells = blocks.agg(F.sum(F.when(F.col("nb") == 1, n)), F.sum(F.when(F.col("nb") > 1, n))).first()
     block = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    a = left.join(F.broadcast(blocks), "country").withColumn("_a", block("s1", "na")).withColumn("_b", every("nb")).drop("na", "nb")
-    b = right.join(F.broadcast(blocks), "country").withColumn("_b", block("tgt", "nb")).withColumn("_a", every("na")).drop("na", "nb")
     cell = ["country", "_a", "_b"]
-    return a.repartition(places, *cell).groupBy(*cell).cogroup(b.repartition(places, *cell).groupBy(*cell)).applyInArrow(one, schema)
+
+    def of(blocks: DataFrame, cells: int | None) -> DataFrame | None:
+        if not cells:
+            return None
+        # several places a cell, since a hash puts some cells at one place
+        places = int(min(4 * cells, 10_000))
+        a = left.join(F.broadcast(blocks), "country").withColumn("_a", block("s1", "na")).withColumn("_b", every("nb")).drop("na", "nb")
+        b = right.join(F.broadcast(blocks), "country").withColumn("_b", block("tgt", "nb")).withColumn("_a", every("na")).drop("na", "nb")
+        return a.repartition(places, *cell).groupBy(*cell).cogroup(b.repartition(places, *cell).groupBy(*cell)).applyInArrow(one, schema)
+
+    return of(blocks.where("nb = 1"), cells[0]), of(blocks.where("nb > 1"), cells[1])
 
 
 class Lists:
@@ -62,11 +75,14 @@ class Lists:
         known = pc.unique(words)
         ids = pc.index_in(words, value_set=known).to_numpy(zero_copy_only=False)
         self.ids = np.split(ids, np.cumsum([len(x) for x in flat])[:-1])
-        keys, ends = _split(right["keys"])
-        found = pc.fill_null(pc.if_else(pc.equal(keys, ""), None, pc.index_in(keys, value_set=known)), -1).to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(ends))
-        # of an entity without keys the text splits into an empty one, which no other has
-        rows, found = rows[found >= 0], found[found >= 0]
+        rows, found = [], []
+        for at in range(0, self.size, CHUNK):
+            keys, ends = _split(right["keys"].slice(at, CHUNK))
+            # of an entity without keys the text splits into an empty one, which no other has
+            ids = pc.fill_null(pc.if_else(pc.equal(keys, ""), None, pc.index_in(keys, value_set=known)), -1).to_numpy(zero_copy_only=False)
+            rows.append(np.repeat(np.arange(at, at + len(ends) - 1, dtype=np.int32), np.diff(ends))[ids >= 0])
+            found.append(ids[ids >= 0])
+        rows, found = np.concatenate(rows), np.concatenate(found)
         self.key_of, self.row_ends = found, np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=self.size))])
         self.rows = rows[np.argsort(found, kind="stable")]
         self.n = np.bincount(found, minlength=len(known))
@@ -145,7 +161,7 @@ def _best(lists: list[np.ndarray], weights: np.ndarray, k: int, acc: np.ndarray,
 def _best_of_cell(k: int, grade: Callable, hope: Callable, least: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def one(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"s1": pa.array([], pa.string()), "tgt": pa.array([], pa.string()), "w": pa.array([], pa.int64())})
+            return pa.table({"s1": pa.array([], pa.string()), "tgt": pa.array([], pa.string()), "w": pa.array([], pa.int64()), "rank": pa.array([], pa.int32())})
         of, targets, grades = [], [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
         x = Lists(left, right, "keys", "words")
         flat = lambda c: pc.list_flatten(left[c]).combine_chunks().to_numpy(zero_copy_only=False)
@@ -170,7 +186,8 @@ def _best_of_cell(k: int, grade: Callable, hope: Callable, least: int) -> Callab
             targets.append(got[0])
             grades.append(got[1])
         names = x.s1.take(pa.array(np.repeat(np.arange(len(of)), of)))
-        return pa.table({"s1": names, "tgt": x.tgt.take(pa.array(np.concatenate(targets))), "w": pa.array(np.concatenate(grades))})
+        rank = np.concatenate([np.zeros(0, dtype=np.int32), *[np.arange(1, n + 1, dtype=np.int32) for n in of]])
+        return pa.table({"s1": names, "tgt": x.tgt.take(pa.array(np.concatenate(targets))), "w": pa.array(np.concatenate(grades)), "rank": pa.array(rank)})
 
     return one
 
@@ -185,7 +202,7 @@ def best_by_sum(left: DataFrame, right: DataFrame, k: int, least: int = 1) -> Da
     ``left`` has (s1, country, keys, weights, sure, words): packed keys, each once, with a whole weight of nothing or more, and whether a hit
     counts only for a target that has one of the packed ``words``, too. ``right`` has (tgt, country, keys) with keys and words packed.
     """
-    return _ranked(met(left, right, _best_of_cell(k, same, same, least), "s1 string, tgt string, w bigint"), k)
+    return _ranked(left, right, _best_of_cell(k, same, same, least), k)
 
 
 #: What a hit adds to a sum that counts hits; one that is needed adds one more.
@@ -201,12 +218,22 @@ def best_by_count(left: DataFrame, right: DataFrame, k: int, least: int) -> Data
     def grade(v: np.ndarray) -> np.ndarray:
         return np.where((v % HIT > 0) & (v >= least * HIT), v // HIT, 0)
 
-    return _ranked(met(left, right, _best_of_cell(k, grade, _hits, least), "s1 string, tgt string, w bigint"), k)
+    return _ranked(left, right, _best_of_cell(k, grade, _hits, least), k)
+
+
+def _ranked(left: DataFrame, right: DataFrame, one: Callable[[pa.Table, pa.Table], pa.Table], k: int) -> DataFrame:
+    """The best of all blocks; where a country's targets are one block, its ranks stand."""
+    schema = "s1 string, tgt string, w bigint, rank int"
+    single, several = met(left, right, one, schema)
+    if several is not None:
+        w = Window.partitionBy("s1").orderBy(F.desc("w"), "tgt")
+        several = several.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return _both(left, schema, single, several)
 
 
-def _ranked(pairs: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("s1").orderBy(F.desc("w"), "tgt")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def _both(left: DataFrame, schema: str, *parts: DataFrame | None) -> DataFrame:
+    out = [p for p in parts if p is not None] or [left.sparkSession.createDataFrame([], schema)]
+    return reduce(DataFrame.unionByName, out)
 
 
 def _sums(rows: list[np.ndarray]) -> list[np.ndarray]:
@@ -296,5 +323,6 @@ def counts_by_shared(left: DataFrame, right: DataFrame) -> DataFrame:
 
     Lists of frequent keys are bits, added up for 64 targets at once; pairs with rarer keys are moved from one count to the other.
     """
-    cells = met(left, right, _count_cell, "shared bigint, count bigint")
+    schema = "shared bigint, count bigint"
+    cells = _both(left, schema, *met(left, right, _count_cell, schema))
     return cells.groupBy("shared").agg(F.sum("count").alias("count"))

@@ -100,3 +100,11 @@ def test_union_counted_without_pairs(spark, monkeypatch):
     keys = lambda x: {("n", x[2])} - {("n", "")} | {("t", t) for t in x[3]} | {("a", t) for t in x[4]} | ({("p", x[5])} if x[5] else set())
     want = Counter(n for s in left for t in right if (n := len(keys(s) & keys(t))))
     assert {x["shared"]: x["count"] for x in df.collect()} == want
+
+
+def test_weighted_has_no_rows_of_pairs_and_confirms_by_words(spark):
+    l = spark.createDataFrame([("a", "X", "foo bar", ["foo", "bar"], [], "123")], ENTITIES)
+    r = spark.createDataFrame([("t", "X", "bar baz", ["bar", "baz"], [], "123"), ("u", "X", "qux", ["qux"], [], "123")], ENTITIES)
+    df = G.summed_blocking(l, r, *G.SUMS["weighted"])
+    assert "_list" not in plan(df) and "CoGroup" in plan(df)
+    assert [(x.s1, x.tgt, x.score) for x in df.collect()] == [("a", "t", 20.69)]  # postal code 20, token ln(2 / 1); u shares no word
